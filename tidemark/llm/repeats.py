@@ -132,8 +132,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         at = np.flatnonzero(np.cumsum(step)[:-1] > 0)
         row = np.searchsorted(first, at, "right") - 1
         name = rolling(h, window)[at] if len(at) else np.empty(0, U)
-        both = np.unique(np.stack((row.astype(U), name), 1), axis=0) if len(at) else np.empty((0, 2), U)
-        return {"id": part.column(0).take(pa.array(both[:, 0].astype(np.int64))), "name": np.ascontiguousarray(both[:, 1]).view(np.int64)}
+        own = part.column("own")
+        counts = own.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        mine = own.flatten().to_numpy(zero_copy_only=False).view(U) ^ mix(np.repeat(np.arange(len(counts)), counts).astype(U))
+        of = np.isin(key[hit] ^ mix((np.searchsorted(first, start, "right") - 1).astype(U)), mine) & some
+        step[:] = 0
+        np.add.at(step, low[of], 1)
+        np.add.at(step, high[of] + 1, -1)
+        late = np.cumsum(step)[:-1][at] == 0
+        _, one = np.unique(row.astype(U) * U(0x9FB21C651E98DF25) ^ name, return_index=True)
+        return {"id": part.column(0).take(pa.array(row[one])), "name": name[one].view(np.int64), "late": late[one]}
 
     def keep(part, buf, offsets):
         h, first = hasher(buf, offsets)
@@ -165,11 +173,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return {"id": part.column(0), "n_words": n, "n_removed": removed, "kept_text": pa.array(out, pa.binary()).cast(pa.string())}
 
     pairs = flagged.where("copy is null").select("id", "text").mapInArrow(per_chunk(found, pa.schema([("id", kind), ("key", pa.int64())])), f"id {id_type}, key long")
-    shared = pairs.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key")
-    hits = pairs.join(shared, "key").groupBy("id").agg(F.collect_list("key").alias("keys"))
-    windows = flagged.where("copy is null").select("id", "text").join(hits, "id").mapInArrow(per_chunk(around, pa.schema([("id", kind), ("name", pa.int64())])), f"id {id_type}, name long")
+    shared = pairs.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key", "least")
+    # A window that holds an anchor first seen in its own document can stand in no smaller one: it is not late.
+    hits = pairs.join(shared, "key").groupBy("id").agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("least") == F.col("id"), F.col("key"))).alias("own"))
+    windows = flagged.where("copy is null").select("id", "text").join(hits, "id").mapInArrow(per_chunk(around, pa.schema([("id", kind), ("name", pa.int64()), ("late", pa.bool_())])), f"id {id_type}, name long, late boolean")
     repeated = windows.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("name", "least")
-    lost = windows.join(repeated, "name").where("id > least").groupBy("id").agg(F.collect_list("name").alias("names"))
+    lost = windows.where("late").drop("late").join(repeated, "name").where("id > least").groupBy("id").agg(F.collect_list("name").alias("names"))
     schema = pa.schema([("id", kind), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
     out = flagged.select("id", "text", "copy").join(lost, "id", "left").mapInArrow(per_chunk(keep, schema), f"id {id_type}, n_words long, n_removed long, kept_text string")
     return out.withColumnRenamed("id", id_col)
