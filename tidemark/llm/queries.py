@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.near_copies import jaccard_join
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.tables import documents
 
@@ -14,5 +15,23 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_substring_dedup,)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(documents(spark, sf_dir))
+
+
+#: Words as the contracts have them, for DuckDB.
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP10_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 10 * count(*) >= 8 * (x.n + y.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT d.doc_id, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS class_id, (SELECT count(*) FROM link l WHERE l.a = d.doc_id) AS n_links, coalesce(n.n, 0) AS n_shingles
+FROM documents d LEFT JOIN n USING (doc_id)
+"""
+
+QUERIES = {f.__name__: f for f in (op7_substring_dedup, op10_ngram_jaccard)}
+ORACLE_SQL: dict[str, str] = {"op10_ngram_jaccard": OP10_SQL}
