@@ -5,16 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.leaks import decontaminate
 from tidemark.llm.near_copies import jaccard_join
+from tidemark.llm.packing import pack
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.tables import documents
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir))
 
@@ -33,5 +45,5 @@ SELECT d.doc_id, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS class_id,
 FROM documents d LEFT JOIN n USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op7_substring_dedup, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op7_substring_dedup, op9_decontamination, op10_ngram_jaccard)}
 ORACLE_SQL: dict[str, str] = {"op10_ngram_jaccard": OP10_SQL}
