@@ -103,8 +103,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
     kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
-    dealt = base.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    named = base.select("id", F.unhex(F.md5("text")).alias("name"))
+    some = base.where("id is not null")  # all that is joined has this filter, so that the texts are dealt out only once
+    dealt = some.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+    named = some.select("id", F.unhex(F.md5("text")).alias("name"))
     firsts = named.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("name", "least")
     copies = named.join(firsts, "name").where("id > least").groupBy("id").agg(F.lit(True).alias("copy"))
     flagged = dealt.join(copies, "id", "left")
@@ -180,5 +181,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeated = windows.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("name", "least")
     lost = windows.where("late").drop("late").join(repeated, "name").where("id > least").groupBy("id").agg(F.collect_list("name").alias("names"))
     schema = pa.schema([("id", kind), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
-    out = flagged.select("id", "text", "copy").join(lost, "id", "left").mapInArrow(per_chunk(keep, schema), f"id {id_type}, n_words long, n_removed long, kept_text string")
+    rest = base.where("id is null").select("id", "text", F.lit(None).cast("boolean").alias("copy"), F.lit(None).cast("array<bigint>").alias("names"))
+    out = flagged.select("id", "text", "copy").join(lost, "id", "left").unionByName(rest).mapInArrow(per_chunk(keep, schema), f"id {id_type}, n_words long, n_removed long, kept_text string")
     return out.withColumnRenamed("id", id_col)
