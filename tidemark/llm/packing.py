@@ -8,6 +8,8 @@ plan by its rank among the pieces of its length.
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -20,11 +22,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import cut, prepare
 from tidemark.llm.words import texts
 
-CACHE_WORDS = 250_000
+#: Words that a worker remembers, about 200 bytes each.
+CACHE_WORDS = 600_000
 BATCH_BYTES = 1 << 20
 # Characters for which the pattern below is known to split as the tokenizer does (tests compare them one by one).
 SAFE = re.compile("[\t-\r -~\x85\xa0-įı-ſ]*")
-SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ſ0-9²³¹¼½¾]+")
+SPLIT = re.compile("'(?:[stmd]|re|ve|ll)|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ſ0-9²³¹¼½¾]+")
 
 
 class TokenCoder:
@@ -44,8 +47,6 @@ class TokenCoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
         for a in range(0, len(words), 20_000):
             some = words[a : a + 20_000]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
@@ -58,17 +59,23 @@ class TokenCoder:
 
     def __call__(self, values: list[str]) -> list[bytes]:
         split = [SPLIT.findall(x.lower()) if SAFE.fullmatch(x) and "<|" not in x else None for x in values]
-        new = {w for words in split if words for w in words} - self.cache.keys()
-        if new:
+        seen: set[str] = set()
+        for words in split:
+            seen.update(words or ())
+        if len(self.cache) > CACHE_WORDS:
+            self.cache = {w: self.cache[w] for w in seen if w in self.cache}
+        if new := seen - self.cache.keys():
             self.learn(sorted(new))
-            if len(self.cache) < len(new):  # cleared
-                new = {w for words in split if words for w in words} - self.cache.keys()
-        get = self.cache
-        try:
-            return [self.whole(x) if w is None else b"".join([get[y] for y in w]) for x, w in zip(values, split, strict=True)]
-        except KeyError:  # the cache was cleared while it held words of these texts
-            self.learn(sorted({w for words in split if words for w in words} - get.keys()))
-            return [self.whole(x) if w is None else b"".join([get[y] for y in w]) for x, w in zip(values, split, strict=True)]
+        get = self.cache.__getitem__
+        return [self.whole(x) if w is None else b"".join(map(get, w)) for x, w in zip(values, split, strict=True)]
+
+
+def coder_for(path: str) -> TokenCoder:
+    """This worker's coder: what it has learnt serves its later tasks too."""
+    state = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker"))
+    if getattr(state, "path", None) != path:
+        state.path, state.coder = path, TokenCoder(path)
+    return state.coder
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> np.ndarray:
@@ -122,7 +129,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, task, seen = TokenCoder(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        coder, task, seen = coder_for(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             sizes = np.cumsum(np.diff(texts(batch.column(1))[1]))
             a = 0
