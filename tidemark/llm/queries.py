@@ -6,12 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.leaks import decontaminate
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.near_copies import jaccard_join
 from tidemark.llm.packing import pack
+from tidemark.llm.quality_rules import RULES, STOP_WORDS, quality
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.tables import documents
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir)).drop("failed_rules")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -34,6 +45,24 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Words as the contracts have them, for DuckDB.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+STOP_LIST = ", ".join(f"'{w}'" for w in sorted({w for words in STOP_WORDS.values() for w in words.split()}))
+OP1_RULES = " AND ".join(f"({r.whole} < {r.least} OR 1000 * {r.part} BETWEEN {r.low} * {r.whole} AND {r.high} * {r.whole})" for r in RULES)
+
+OP1_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i+7], ' '))) AS g FROM d),
+rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+cover AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, range(8) r(k) GROUP BY doc_id),
+ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+lines AS (SELECT doc_id, count(*) AS n, count(DISTINCT line) AS u FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(lines.n, 0) AS n_lines, coalesce(lines.n - lines.u, 0) AS n_dup_lines,
+    coalesce(cover.n, 0) AS n_repeat_words, CAST(len(list_filter(w, lambda x: x IN ({STOP_LIST}))) AS BIGINT) AS n_stop_words, CAST(len(list_distinct(w)) AS BIGINT) AS n_distinct_words
+    FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN cover USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND {OP1_RULES} AS kept FROM b
+"""
+
 OP10_SQL = rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS w FROM documents),
 g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM w),
@@ -45,5 +74,5 @@ SELECT d.doc_id, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS class_id,
 FROM documents d LEFT JOIN n USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op7_substring_dedup, op9_decontamination, op10_ngram_jaccard)}
-ORACLE_SQL: dict[str, str] = {"op10_ngram_jaccard": OP10_SQL}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_best_fit_packing, op7_substring_dedup, op9_decontamination, op10_ngram_jaccard)}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op10_ngram_jaccard": OP10_SQL}
