@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.leaks import decontaminate
+from tidemark.llm.licenses import find_licenses
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.near_copies import jaccard_join
 from tidemark.llm.packing import pack
+from tidemark.llm.quality_model import classify
 from tidemark.llm.quality_rules import RULES, STOP_WORDS, quality
 from tidemark.llm.repeats import remove_repeats
+from tidemark.llm.secrets import find_secrets
 from tidemark.llm.tables import documents
+from tidemark.llm.toxicity import learn, score
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,11 +33,41 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def crc_part(parts: int, part: int) -> Column:
+    """Whether the crc32 of doc_id as text leaves this remainder."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))
+
+
+def scored(df: DataFrame, parts: int, part: int) -> DataFrame:
+    return df.select("doc_id", crc_part(parts, part).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(classify(documents(spark, sf_dir), documents(spark, sf_dir, "labels"), ~crc_part(5, 0)), 5, 0)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return scored(score(docs, learn(docs, documents(spark, sf_dir, "labels"), ~crc_part(4, 2))), 4, 2)
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_secrets(documents(spark, sf_dir))
+    n = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    base = F.filter("spans", lambda s: s.kind != "entropy")
+    return out.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(documents(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -74,5 +108,5 @@ SELECT d.doc_id, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS class_id,
 FROM documents d LEFT JOIN n USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_best_fit_packing, op7_substring_dedup, op9_decontamination, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_best_fit_packing, op4_quality_classifier, op5_toxicity, op6_secret_scan, op7_substring_dedup, op8_license_scan, op9_decontamination, op10_ngram_jaccard)}
 ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op10_ngram_jaccard": OP10_SQL}
