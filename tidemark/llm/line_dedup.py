@@ -65,7 +65,7 @@ def has_word(line: Column | str) -> Column:
     return F.rlike(F.col(line) if isinstance(line, str) else line, F.lit(r"[^ \t\n\x0B\f\r]"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 2, min_chars: int = 20) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 2, min_chars: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
     """Takes out lines that stand, or nearly stand, earlier in the corpus.
 
     Lines are parts between \\n with a word and min_chars characters at least; order is by id, then line. A line goes
@@ -73,7 +73,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     than its own first copy (near; whether or not that line goes too). Returns id, n_lines, n_exact, n_near and kept_text (the
     other lines, joined by \\n) for each row of docs. A null text counts as empty. Rows with a null id keep all their lines.
     Of rows with the same id, the lines are compared by number only: of a number that several of them have, the least text
-    counts as the line for near copies. Equal lines are found by 128-bit hashes.
+    counts as the line for near copies. Equal lines are found by 128-bit hashes. Columns named in carry are returned as well; of
+    rows with the same id, the least such columns stand for all.
     """
     if min_chars <= max_edits:
         raise ValueError("min_chars must be over max_edits: each segment needs a character")
@@ -115,11 +116,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lost = direct.union(near(rest)).groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("nears")).select("id", mask("nears").alias("nears"))
     # A later copy of a line that has gone counts as exact.
     empty = F.array().cast("array<boolean>")
-    out = marked.join(lost, "id", "left").select("id", "text", "firsts", "nears")
-    out = out.union(base.where("id is null").select("id", "text", F.lit(None).cast("array<boolean>"), F.lit(None).cast("array<boolean>")))
-    out = out.select("id", F.split("text", "\n").alias("all"), F.coalesce("firsts", empty).alias("firsts"), F.coalesce("nears", empty).alias("nears"))
+    out = marked.join(lost, "id", "left")
+    if carry:
+        out = out.join(docs.select(F.col(id_col).alias("id"), F.struct(*carry).alias("more")).where("id is not null").groupBy("id").agg(F.min("more").alias("more")), "id", "left")
+    none = F.lit(None).cast("array<boolean>")
+    rest = docs.where(F.col(id_col).isNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), none.alias("firsts"), none.alias("nears"), *([F.struct(*carry).alias("more")] if carry else []))
+    out = out.select(rest.columns).union(rest)
+    out = out.withColumns({"all": F.split("text", "\n"), "firsts": F.coalesce("firsts", empty), "nears": F.coalesce("nears", empty)}).drop("text")
     fits = lambda x: (F.length(x) >= min_chars) & has_word(x) & F.col("id").isNotNull()
     out = out.withColumn("state", F.transform("all", lambda x, i: F.when(~fits(x), 0).when(~among("firsts", i), 2).when(among("nears", i), 3).otherwise(1)))
     tally = lambda *s: F.size(F.filter("state", lambda x: x.isin(*s))).cast("long")
     kept = F.array_join(F.filter("all", lambda x, i: F.expr("state")[i] < 2), "\n")
-    return out.select(F.col("id").alias(id_col), tally(1, 2, 3).alias("n_lines"), tally(2).alias("n_exact"), tally(3).alias("n_near"), kept.alias("kept_text"))
+    return out.select(F.col("id").alias(id_col), tally(1, 2, 3).alias("n_lines"), tally(2).alias("n_exact"), tally(3).alias("n_near"), kept.alias("kept_text"), *(F.col("more")[c].alias(c) for c in carry))

@@ -48,7 +48,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return scored(score(docs, learn(docs, documents(spark, sf_dir, "labels"), ~crc_part(4, 2))), 4, 2)
+    return scored(score(docs.select("doc_id", "text"), learn(docs, documents(spark, sf_dir, "labels"), ~crc_part(4, 2))), 4, 2)
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

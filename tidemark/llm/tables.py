@@ -15,8 +15,12 @@ def prepare(spark: SparkSession) -> None:
     """Small Arrow batches; a checkpoint folder where the cluster names none (tests)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "tidemark-checkpoints"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a local one only where no cluster names one (tests)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidemark-checkpoints")
 
 
 def cut(df: DataFrame) -> DataFrame:

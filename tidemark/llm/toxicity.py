@@ -149,28 +149,32 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "do
             weights[e] = odds[e]
     best = sorted(weights, key=lambda e: (-weights[e] * math.log1p(bad[e]), e))[:most_entries]
     weights = seeds | {e: round(weights[e], 4) for e in best}
-    measured = measure(rows, weights, ["y"]).select("m0", "m1", "m2", "y").collect()
+    measured = measure(rows, weights).select("m0", "m1", "m2", "y").collect()
     x = np.array(measured, np.float64)
     curve = logistic(x[:, :3], x[:, 3])
     return Model(weights, tuple(round(float(c), 6) for c in curve))
 
 
-def measure(rows: DataFrame, weights: dict[str, float], more: list[str]) -> DataFrame:
-    """rows (id, text, *more) with m0, m1 and m2 in place of the text."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select("id", *more).schema)
+def measure(rows: DataFrame, weights: dict[str, float], text_col: str = "text") -> DataFrame:
+    """rows with m0, m1 and m2 beside all their columns."""
+    at, names = rows.columns.index(text_col), [f"c{k}" for k in range(len(rows.columns))]
+    plain = rows.toDF(*names)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, table = automaton(weights), Folder()
         for batch in batches:
-            m = np.array([measures(fold(t, table), found) for t in batch.column("text").to_pylist()], np.float64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", *more)), *(pa.array(m[:, k]) for k in range(3))], ["id", *more, "m0", "m1", "m2"])
+            m = np.array([measures(fold(t or "", table), found) for t in batch.column(at).to_pylist()], np.float64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(m[:, k]) for k in range(3))], [*names, "m0", "m1", "m2"])
 
-    return rows.select("id", "text", *more).mapInArrow(run, f"{schema}, m0 double, m1 double, m2 double")
+    out = plain.mapInArrow(run, f"{schema}, m0 double, m1 double, m2 double")
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, rows.columns, strict=True)), "m0", "m1", "m2")
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) for each row of docs; a null or empty text has no hits. Rows are scored one by one, whatever their ids."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """docs with a score column; a null or empty text has no hits. Rows are scored one by one, whatever their ids."""
+    if {score_col, "m0", "m1", "m2"} & set(docs.columns):
+        raise ValueError(f"docs must have no column {score_col}, m0, m1 or m2")
     prepare(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     z = F.lit(model.curve[0]) + sum(F.lit(c) * F.col(f"m{k}") for k, c in enumerate(model.curve[1:]))
-    return measure(rows, model.weights, []).select(F.col("id").alias(id_col), (1 / (1 + F.exp(-z))).alias("score"))
+    return measure(docs, model.weights, text_col).withColumn(score_col, 1 / (1 + F.exp(-z))).drop("m0", "m1", "m2")
