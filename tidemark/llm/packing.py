@@ -7,6 +7,7 @@ plan by its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import types
@@ -20,13 +21,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import cut, prepare
-from tidemark.llm.words import texts
 
 #: Words that a worker remembers, about 200 bytes each.
 CACHE_WORDS = 600_000
-BATCH_BYTES = 1 << 20
+#: Bytes of text that are split at once; the more, the fewer times a word is looked up.
+BATCH_BYTES = 1 << 22
 # Characters for which the pattern below is known to split as the tokenizer does (tests compare them one by one).
 SAFE = re.compile("[\t-\r -~\x85\xa0-įı-ſ]*")
+ASCII_SPLIT = re.compile("[a-z]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\t-\r a-z0-9]+")
 SPLIT = re.compile("'(?:[stmd]|re|ve|ll)|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ſ0-9²³¹¼½¾]+")
 
 
@@ -46,27 +48,34 @@ class TokenCoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
         for a in range(0, len(words), 20_000):
             some = words[a : a + 20_000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             stop = np.flatnonzero(self.ends[ids]) + 1
             if len(stop) == len(some) and stop[-1] == len(ids):
                 raw, cuts = ids.tobytes(), [0, *(stop * 4).tolist()]
-                self.cache.update((w, raw[i:j]) for w, i, j in zip(some, cuts, cuts[1:], strict=False))
+                out.update((w, raw[i:j]) for w, i, j in zip(some, cuts, cuts[1:], strict=False))
             else:
-                self.cache.update((w, self.whole(w)) for w in some)
+                out.update((w, self.whole(w)) for w in some)
+        return out
 
     def __call__(self, values: list[str]) -> list[bytes]:
-        split = [SPLIT.findall(x.lower()) if SAFE.fullmatch(x) and "<|" not in x else None for x in values]
+        split = [(ASCII_SPLIT if x.isascii() else SPLIT).findall(x.lower()) if SAFE.fullmatch(x) and "<|" not in x else None for x in values]
         seen: set[str] = set()
         for words in split:
             seen.update(words or ())
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {w: self.cache[w] for w in seen if w in self.cache}
-        if new := seen - self.cache.keys():
-            self.learn(sorted(new))
-        get = self.cache.__getitem__
+        known = self.cache.get
+        here = {w: known(w) for w in seen}  # small enough to stay in the processor's cache while the ids are joined
+        if new := sorted(w for w, ids in here.items() if ids is None):
+            learnt = self.learn(new)
+            here |= learnt
+            if len(self.cache) > CACHE_WORDS:
+                self.cache = here
+            else:
+                self.cache |= learnt
+        get = here.__getitem__
         return [self.whole(x) if w is None else b"".join(map(get, w)) for x, w in zip(values, split, strict=True)]
 
 
@@ -78,6 +87,21 @@ def coder_for(path: str) -> TokenCoder:
     return state.coder
 
 
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of about BATCH_BYTES, or one longer text."""
+    ids, values, size = [], [], 0
+    for batch in batches:
+        for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if size and size + len(x) > BATCH_BYTES:
+                yield ids, values
+                ids, values, size = [], [], 0
+            ids.append(i)
+            values.append(x)
+            size += len(x) + 1
+    if values:
+        yield ids, values
+
+
 def best_fit(counts: np.ndarray, capacity: int) -> np.ndarray:
     """Plan rows (length, first rank, first sequence, pieces in each sequence, offset) for counts[length] pieces.
 
@@ -130,12 +154,10 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, task, seen = coder_for(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            sizes = np.cumsum(np.diff(texts(batch.column(1))[1]))
-            a = 0
-            while a < batch.num_rows:
-                b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + BATCH_BYTES, "right")))
-                ids = [x + end for x in coder(batch.column(1).slice(a, b - a).to_pylist())]
+        gc.disable()  # many strings, no cycles
+        try:
+            for column, values in joined(batches):
+                ids = [x + end for x in coder(values)]
                 rows = [(r, p, p * capacity, min(capacity, len(x) // 4 - p * capacity), x) for r, x in enumerate(ids) for p in range(-(-len(x) // 4 // capacity))]
                 row, piece, start, length, _ = zip(*rows, strict=True)
                 crc = [zlib.crc32(x[4 * s : 4 * (s + n)]) for _, _, s, n, x in rows]
@@ -143,8 +165,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                 for n in length:
                     rank.append(int(seen[n]))
                     seen[n] += 1
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([task] * len(rows), pa.int32()), pa.array(rank, pa.int64())], schema=schema)
-                a = b
+                yield pa.RecordBatch.from_arrays([pa.array([column[r] for r in row], kind), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([task] * len(rows), pa.int32()), pa.array(rank, pa.int64())], schema=schema)
+        finally:
+            gc.enable()
 
     pieces = cut(base.mapInArrow(encode, f"id {id_type}, piece int, start long, length long, crc long, task int, rank long"))
     by_task = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
