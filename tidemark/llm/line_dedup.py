@@ -1,9 +1,10 @@
 """Line dedup by a segment-partition edit join, in DataFrame operations only.
 
-A line of length l is cut into max_edits + 1 segments. If another line is within max_edits edits, it holds one of the
-segments whole, at a place that the two lengths bound. So each line is indexed by its segments and probes with those of
-its substrings that can be segments of a line as long or up to max_edits shorter. Lines that meet are compared by a
-banded bit-parallel edit distance.
+A line is cut into max_edits + 1 segments. Of two lines within max_edits edits, one segment of the one stands whole in the
+other: segment i with at most i edits before it and max_edits - i after it. The first half of the segments is therefore
+placed from the line's start, the second half from its end, and each is indexed at the few shifts that remain. Segment
+sizes go by classes of length, so that lines of nearly the same length have the same ones. Lines that meet must also
+share most of a finer row of pieces; what is left is compared by a banded bit-parallel edit distance.
 """
 
 from __future__ import annotations
@@ -14,28 +15,44 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import cut, prepare
 
 
-def segment(length: str, i: int, k: int) -> tuple[str, str]:
-    """SQL for (start from 0, length) of segment i of the k + 1: the last ones are longer by one if it doesn't come out even."""
-    n = k + 1
-    longer = f"greatest(0, {i} - ({n} - {length} % {n}))"
-    return f"({i} * ({length} div {n}) + {longer})", f"({length} div {n} + IF({i} >= {n} - {length} % {n}, 1, 0))"
+#: Buckets with more lines than this are split once more before all their lines meet.
+LARGE = 64
 
 
-def keys(k: int) -> str:
-    """SQL for the array of (key, side) of a line: side 0 for its own segments, 1 for its probes."""
+def length_class(l: str) -> str:  # noqa: E741
+    """SQL for the least length of the class of lengths that l is in."""
+    return f"(IF({l} < 64, {l} div 4 * 4, {l} div 16 * 16))"
+
+
+def keys(k: int, c: str) -> str:
+    """SQL for the array of keys of a line of length l for class c.
+
+    Of two lines that meet in segment i, the places differ by m at most. Both are looked up at the shifts 0 to m, with m
+    characters less than the segment has: one of the shifts of either line then shows the same part of it.
+    """
     out = []
     for i in range(k + 1):
-        start, size = segment("l", i, k)
-        out.append(f"array(struct(xxhash64(l, {i}, substring(line, {start} + 1, {size})) AS key, 0 AS side))")
-    for d in range(k + 1):
-        for i in range(k + 1):
-            start, size = segment(f"(l - {d})", i, k)
-            # Shifts that leave few enough edits on both sides of the segment.
-            low, high = max(-i, d - (k - i)), min(i, d + (k - i))
-            for shift in range(low, high + 1):
-                at = f"({start} + {shift})"
-                out.append(f"IF({at} >= 0 AND {at} + {size} <= l, array(struct(xxhash64(l - {d}, {i}, substring(line, {at} + 1, {size})) AS key, 1 AS side)), array())")
-    return f"flatten(array({', '.join(out)}))"
+        left = i <= k // 2
+        m, size = (i if left else k - i), f"({c} div {k + 1})"
+        start = f"{i} * {size}" if left else f"l - {k + 1 - i} * {size}"
+        out += [f"xxhash64({c}, {i}, substring(line, {start} + {1 + x}, {size} - {m}))" for x in range(m + 1)]
+    return f"array({', '.join(out)})"
+
+
+def finer_keys(k: int) -> str:
+    """SQL for keys below a bucket's key: the lines are within k edits only if 2k + 2 pieces less k are whole, whatever has
+    brought them together; all but the k + 1 that a segment can explain are looked up at all shifts up to k."""
+    n = 2 * k + 2
+    size = f"(c div {n})"
+    return f"array({', '.join(f'xxhash64(key, {j}, substring(line, {j} * {size} + {1 + x}, {size} - {k}))' for j in range(n) for x in range(k + 1))})"
+
+
+def share_pieces(a: str, b: str, k: int) -> str:
+    """SQL: are all but k of some pieces of a in b, shifted by k at most? True wherever the edit distance is at most k."""
+    n = k + 5
+    size = f"(length({a}) div {n})"
+    found = [f"IF(locate(substring({a}, {j} * {size} + 1, {size}), substring({b}, greatest({j} * {size} + 1 - {k}, 1), {size} + {2 * k})) > 0, 1, 0)" for j in range(n)]
+    return f"abs(length({a}) - length({b})) <= {k} AND {' + '.join(found)} >= {n - k}"
 
 
 def within(a: str, b: str, k: int) -> str:
@@ -84,36 +101,54 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     some = base.where("id is not null")
     dealt = some.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
     counts = (F.length("line") >= min_chars) & has_word("line")
-    lines = some.select("id", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(counts).select("id", "no", F.unhex(F.md5("line")).alias("name"))
+    lines = some.select("id", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(counts)
+    near_class = length_class(f"(l - {max_edits})")
+    lines = lines.select("id", "no", "line", F.length("line").alias("l")).select("*", F.expr(length_class("l")).alias("c"), F.expr(near_class).alias("d"))
+    lines = lines.select("id", "no", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(1), "line").alias("y"), F.struct("c", F.expr(keys(max_edits, "c")).alias("keys")).alias("own"), F.expr(f"IF(c = d, NULL, named_struct('c', d, 'keys', {keys(max_edits, 'd')}))").alias("below"))
     # Line numbers as a mask: whether a line is among them then takes one step, however many lines a text has.
     mask = lambda c: F.expr(f"flatten(transform({c}, (x, i) -> array_append(array_repeat(false, x - IF(i = 0, -1, {c}[greatest(i, 1) - 1]) - 1), true)))")
     among = lambda c, no: F.coalesce(F.get(F.col(c), no), F.lit(False))
-    names = lines.groupBy("name").agg(F.min(F.struct("id", "no")).alias("first"))
+    names = lines.groupBy("x", "y").agg(F.min(F.struct("id", "no", "own", "below")).alias("first"))
     firsts = names.groupBy(F.col("first.id").alias("id")).agg(F.sort_array(F.collect_set("first.no")).alias("firsts")).select("id", mask("firsts").alias("firsts"))
     marked = dealt.join(firsts, "id", "left")
-    known = marked.where("firsts is not null").select("id", "firsts", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(counts & among("firsts", F.col("no")))
-    entries = known.select("id", "no", "line", F.length("line").alias("l")).select("id", "no", F.explode(F.expr(keys(max_edits))).alias("e")).select("id", "no", "e.key", "e.side")
-    at, bucket = F.struct("id", "no"), Window.partitionBy("key")
-    star = [F.min(F.when(F.col("side") == s, at)).over(bucket) for s in (0, 1)]
-    many = [F.count(F.when(F.col("side") == s, 1)).over(bucket) for s in (0, 1)]
-    met = entries.select("key", "side", "id", "no", F.min(at).over(bucket).alias("low"), F.max(at).over(bucket).alias("high"), F.when(F.col("side") == 1, star[0]).otherwise(star[1]).alias("star"), F.when(F.col("side") == 1, many[0]).otherwise(many[1]).alias("many"))
-    met = cut(met.where("low <> high").drop("low", "high"))
+    at = F.struct("id", "no")
+    def met(entries: DataFrame) -> DataFrame:
+        """Entries of buckets (key) with several lines: each with the bucket's first line, and how many entries there are."""
+        bucket = Window.partitionBy("key")
+        out = entries.select("key", "c", "id", "no", F.min(at).over(bucket).alias("star"), F.max(at).over(bucket).alias("last"), F.count(F.lit(1)).over(bucket).alias("many"))
+        return out.where("star <> last").drop("last")
+
+    entries = names.select("first.id", "first.no", F.explode(F.array("first.own", "first.below")).alias("k")).where("k is not null")
+    coarse = cut(met(entries.select("id", "no", "k.c", F.explode("k.keys").alias("key"))))
+
+    # From here on all is one query, in which the texts are dealt out once.
+    among_ = coarse.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("needed")).select("id", mask("needed").alias("needed"))
+    parts = dealt.join(among_, "id").select("id", "needed", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    found = parts.where(among("needed", F.col("no"))).groupBy("id", "no").agg(F.min("line").alias("line"))
 
     def near(pairs: DataFrame) -> DataFrame:
         """Those (id, no) of pairs (id, no, other) that are within max_edits of the other."""
-        pairs = pairs.distinct()
-        needed = pairs.select("id", "no").union(pairs.select("other.id", "other.no")).groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("needed")).select("id", mask("needed").alias("needed"))
-        found = dealt.join(needed, "id", "left").where("needed is not null").select("id", "needed", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(among("needed", F.col("no"))).groupBy("id", "no").agg(F.min("line").alias("line"))
-        own = pairs.select("id", "no", F.col("other.id").alias("oid"), F.col("other.no").alias("ono")).join(found, ["id", "no"])
+        own = pairs.distinct().select("id", "no", F.col("other.id").alias("oid"), F.col("other.no").alias("ono")).join(found, ["id", "no"])
         both = own.join(found.select(F.col("id").alias("oid"), F.col("no").alias("ono"), F.col("line").alias("other")), ["oid", "ono"])
-        return both.where(F.expr(within("line", "other", max_edits))).select("id", "no").distinct()
-
-    direct = cut(near(met.where(F.col("star") < at).select("id", "no", F.col("star").alias("other"))))
-    # What a bucket's first line doesn't settle meets the others of the bucket.
-    open_ = met.where("many > 2").join(direct, ["id", "no"], "left_anti")
-    rest = met.select("key", F.col("side").alias("oside"), at.alias("other"))
-    rest = open_.join(rest, "key").where((F.col("side") != F.col("oside")) & (F.col("other") < at) & ~F.col("other").eqNullSafe(F.col("star"))).select("id", "no", "other")
-    lost = direct.union(near(rest)).groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("nears")).select("id", mask("nears").alias("nears"))
+        return both.where(F.expr(share_pieces("line", "other", max_edits))).where(F.expr(within("line", "other", max_edits))).select("id", "no").distinct()
+
+    def with_first(buckets: DataFrame) -> DataFrame:
+        return buckets.where(F.col("star") < at).select("id", "no", F.col("star").alias("other"))
+
+    def with_all(buckets: DataFrame, settled: DataFrame) -> DataFrame:
+        """Pairs of what is not settled with the others of its bucket."""
+        others = buckets.select("key", at.alias("other"), F.col("star").alias("first"))
+        open_ = buckets.where("many > 2").drop("star").join(settled, ["id", "no"], "left_anti")
+        return open_.join(others, "key").where((F.col("other") < at) & (F.col("other") != F.col("first"))).select("id", "no", "other")
+
+    settled = near(with_first(coarse))
+    settled = settled.union(near(with_all(coarse.where(F.col("many") <= LARGE), settled)))
+    large = coarse.where(F.col("many") > LARGE)
+    if not large.isEmpty():
+        fine = met(large.select("key", "c", "id", "no").distinct().join(found, ["id", "no"]).select("id", "no", "c", F.explode(F.expr(finer_keys(max_edits))).alias("key")))
+        settled = settled.union(near(with_first(fine)))
+        settled = settled.union(near(with_all(fine, settled)))
+    lost = settled.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("nears")).select("id", mask("nears").alias("nears"))
     # A later copy of a line that has gone counts as exact.
     empty = F.array().cast("array<boolean>")
     out = marked.join(lost, "id", "left")
