@@ -40,11 +40,16 @@ def keys(k: int, c: str) -> str:
 
 
 def finer_keys(k: int) -> str:
-    """SQL for keys below a bucket's key: the lines are within k edits only if 2k + 2 pieces less k are whole, whatever has
-    brought them together; all but the k + 1 that a segment can explain are looked up at all shifts up to k."""
+    """SQL for keys below the key of segment seg: of 2k + 2 pieces, two to a segment, k + 1 outside of that segment are looked up
+    at all shifts up to k. At most k of them can be damaged, so one is whole."""
     n = 2 * k + 2
     size = f"(c div {n})"
-    return f"array({', '.join(f'xxhash64(key, {j}, substring(line, {j} * {size} + {1 + x}, {size} - {k}))' for j in range(n) for x in range(k + 1))})"
+    cases = []
+    for i in range(k + 1):
+        pieces = [j for j in range(n) if j // 2 != i][: k + 1]
+        made = ", ".join(f"xxhash64(key, {j}, substring(line, {j} * {size} + {1 + x}, {size} - {k}))" for j in pieces for x in range(k + 1))
+        cases.append(f"WHEN {i} THEN array({made})")
+    return f"CASE seg {' '.join(cases)} END"
 
 
 def share_pieces(a: str, b: str, k: int) -> str:
@@ -109,17 +114,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mask = lambda c: F.expr(f"flatten(transform({c}, (x, i) -> array_append(array_repeat(false, x - IF(i = 0, -1, {c}[greatest(i, 1) - 1]) - 1), true)))")
     among = lambda c, no: F.coalesce(F.get(F.col(c), no), F.lit(False))
     names = lines.groupBy("x", "y").agg(F.min(F.struct("id", "no", "own", "below")).alias("first"))
+    names = cut(names.select("first"))
     firsts = names.groupBy(F.col("first.id").alias("id")).agg(F.sort_array(F.collect_set("first.no")).alias("firsts")).select("id", mask("firsts").alias("firsts"))
     marked = dealt.join(firsts, "id", "left")
     at = F.struct("id", "no")
     def met(entries: DataFrame) -> DataFrame:
         """Entries of buckets (key) with several lines: each with the bucket's first line, and how many entries there are."""
         bucket = Window.partitionBy("key")
-        out = entries.select("key", "c", "id", "no", F.min(at).over(bucket).alias("star"), F.max(at).over(bucket).alias("last"), F.count(F.lit(1)).over(bucket).alias("many"))
+        out = entries.select("key", "seg", "c", "id", "no", F.min(at).over(bucket).alias("star"), F.max(at).over(bucket).alias("last"), F.count(F.lit(1)).over(bucket).alias("many"))
         return out.where("star <> last").drop("last")
 
+    segments = F.array(*(F.lit(i) for i in range(max_edits + 1) for _ in range((i if i <= max_edits // 2 else max_edits - i) + 1)))
     entries = names.select("first.id", "first.no", F.explode(F.array("first.own", "first.below")).alias("k")).where("k is not null")
-    coarse = cut(met(entries.select("id", "no", "k.c", F.explode("k.keys").alias("key"))))
+    coarse = cut(met(entries.select("id", "no", "k.c", F.posexplode("k.keys").alias("pos", "key")).withColumn("seg", F.element_at(segments, F.col("pos") + 1)).drop("pos")))
 
     # From here on all is one query, in which the texts are dealt out once.
     among_ = coarse.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("needed")).select("id", mask("needed").alias("needed"))
@@ -145,7 +152,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     settled = settled.union(near(with_all(coarse.where(F.col("many") <= LARGE), settled)))
     large = coarse.where(F.col("many") > LARGE)
     if not large.isEmpty():
-        fine = met(large.select("key", "c", "id", "no").distinct().join(found, ["id", "no"]).select("id", "no", "c", F.explode(F.expr(finer_keys(max_edits))).alias("key")))
+        fine = met(large.select("key", "seg", "c", "id", "no").distinct().join(found, ["id", "no"]).select("id", "no", "c", "seg", F.explode(F.expr(finer_keys(max_edits))).alias("key")))
         settled = settled.union(near(with_first(fine)))
         settled = settled.union(near(with_all(fine, settled)))
     lost = settled.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("nears")).select("id", mask("nears").alias("nears"))
