@@ -67,7 +67,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
     columns don't matter. Windows are compared by 64-bit hashes inside one text.
     """
     stop = sorted({w for words in STOP_WORDS.values() for w in words.split()})
-    bare = F.expr(r"trim(BOTH ' \t\n\u000B\f\r' FROM text)")
+    bare = F.expr(r"trim(BOTH ' \t\n\u000B\u000C\r' FROM text)")
     out = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = out.withColumns({"words": F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"[{SPACE}]+")), "lines": F.filter(F.split("text", "\n"), lambda x: F.rlike(x, F.lit(f"[^{SPACE}]")))})
     hashes = f"CASE WHEN size(words) < {WINDOW} THEN array() ELSE transform(sequence(1, size(words) - {WINDOW - 1}), i -> xxhash64(slice(words, i, {WINDOW}))) END"
