@@ -29,19 +29,19 @@ ALLOWED = re.compile(r"example|sample|placeholder|changeme|lorem|abcdefgh|012345
 PLOGP = [0.0, *(c * math.log2(c) for c in range(1, WINDOW + 1))]
 
 
-def even(text: str, bound: float, window: int = WINDOW) -> tuple[int, int] | None:
+def even(text: str, bound: float) -> tuple[int, int] | None:
     """(start, end) of the part covered by windows above the bound, from the first to the last; None if there is none."""
     counts: dict[str, int] = {}
-    total, first, last, size = 0.0, None, 0, min(window, len(text))
+    total, first, last, size = 0.0, None, 0, min(WINDOW, len(text))
     for i, c in enumerate(text):
-        n = counts.get(c, 0)
-        total += PLOGP[n + 1] - PLOGP[n]
-        counts[c] = n + 1
         if i >= size:
             old = text[i - size]
             n = counts[old]
             total += PLOGP[n - 1] - PLOGP[n]
             counts[old] = n - 1
+        n = counts.get(c, 0)
+        total += PLOGP[n + 1] - PLOGP[n]
+        counts[c] = n + 1
         if i >= size - 1 and math.log2(size) - total / size > bound:
             first, last = (i - size + 1 if first is None else first), i + 1
     return None if first is None else (first, last)
