@@ -5,6 +5,12 @@ other: segment i with at most i edits before it and max_edits - i after it. The
 placed from the line's start, the second half from its end, and each is indexed at the few shifts that remain. Segment
 sizes go by classes of length, so that lines of nearly the same length have the same ones. Lines that meet must also
 share most of a finer row of pieces; what is left is compared by a banded bit-parallel edit distance.
+
+Many lines can share a segment and yet be far apart, as copies of a text with other words exchanged are. A bucket with more
+than LARGE lines is split by where its lines leave its first line s. Let P_e(x) be the longest prefix of s that some prefix of x
+has within e edits. If x and y are within k edits, P_0(x) <= P_k(y) and P_0(y) <= P_k(x): the spans from P_0 to P_k meet, and so
+do those of the suffixes. Lines meet in cells of both spans only, each pair in one cell. Where a cell is still large, what all its lines
+begin and end with is taken off, which leaves distances as they are, and the rest is cut into max_edits + 1 segments again.
 """
 
 from __future__ import annotations
@@ -15,8 +21,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import cut, prepare
 
 
-#: Buckets with more lines than this are split once more before all their lines meet.
-LARGE = 64
+#: Buckets with more lines than this are split before all their lines meet.
+LARGE = 16
+#: Parts of a bucket's first line, by which places of edits are told apart.
+CELLS = 16
 
 
 def length_class(l: str) -> str:  # noqa: E741
@@ -39,17 +47,18 @@ def keys(k: int, c: str) -> str:
     return f"array({', '.join(out)})"
 
 
-def finer_keys(k: int) -> str:
-    """SQL for keys below the key of segment seg: of 2k + 2 pieces, two to a segment, k + 1 outside of that segment are looked up
-    at all shifts up to k. At most k of them can be damaged, so one is whole."""
-    n = 2 * k + 2
-    size = f"(c div {n})"
-    cases = []
-    for i in range(k + 1):
-        pieces = [j for j in range(n) if j // 2 != i][: k + 1]
-        made = ", ".join(f"xxhash64(key, {j}, substring(line, {j} * {size} + {1 + x}, {size} - {k}))" for j in pieces for x in range(k + 1))
-        cases.append(f"WHEN {i} THEN array({made})")
-    return f"CASE seg {' '.join(cases)} END"
+def reach(a: str, b: str, k: int) -> str:
+    """SQL for an array of how far prefixes of b go along string a: the longest prefix of a that b has with no edit, the longest
+    with k edits (Landau and Vishkin's rows), and whether the whole of b is within k edits of a (1 or 0).
+
+    The columns la, lb are the lengths, and steps are powers of two, falling from the shorter length.
+    """
+    n, far = 2 * k, -100 - k
+    same = lambda i, j: f"aggregate(steps, 0, (n, w) -> IF({i} + n + w <= la AND {j} + n + w <= lb AND substring({a}, {i} + n + 1, w) = substring({b}, {j} + n + 1, w), n + w, n))"
+    begin = f"greatest(r[q] + 1, coalesce(get(r, q - 1), {far}), coalesce(get(r, q + 1), {far}) + 1)"
+    row = f"transform(sequence(0, {n}), q -> transform(array(least({begin}, la, lb - q + {k})), i -> IF(i < 0, {far}, i + {same('i', f'(i + q - {k})')}))[0])"
+    rows = f"aggregate(sequence(1, {k}), transform(sequence(0, {n}), q -> IF(q = {k}, r0, {far})), (r, e) -> {row})"
+    return f"transform(array({same('0', '0')}), r0 -> transform(array({rows}), r -> array(r0, least(la, array_max(r)), IF(coalesce(get(r, lb - la + {k}), {far}) >= la, 1, 0)))[0])[0]"
 
 
 def share_pieces(a: str, b: str, k: int) -> str:
@@ -83,6 +92,43 @@ def within(a: str, b: str, k: int) -> str:
     return f"IF(abs(length({a}) - length({b})) > {k}, false, IF(length({short}) = 0, true, transform(array(length({long})), lp -> transform(array(concat({pad}, {chars(long)}, {pad})), p -> transform(array({chars(short)}), t -> {body})[0])[0])[0]))"
 
 
+def in_cells(buckets: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """Entries of buckets with their lines, once for each cell of the bucket (key) that their spans touch.
+
+    p0 to pk and q0 to qk are the spans of prefix and suffix, cell is the cell's place. An entry that is within k edits of the
+    bucket's first line (open is false) is only there for others to meet.
+    """
+    heads = found.select(F.struct("id", "no").alias("star"), F.col("line").alias("head"))
+    lines = buckets.select("key", "id", "no", "star").join(found, ["id", "no"]).join(heads, "star")
+    lines = lines.select("key", "id", "no", "line", "head", F.reverse("line").alias("r_line"), F.reverse("head").alias("r_head"), F.length("head").alias("la"), F.length("line").alias("lb"))
+    lines = lines.withColumn("steps", F.expr("transform(sequence(CAST(floor(log2(greatest(least(la, lb), 1))) AS INT), 0, -1), t -> shiftleft(1, t))"))
+    lines = lines.select("key", "id", "no", "line", F.col("lb").alias("l"), F.expr(reach("head", "line", k)).alias("p"), F.expr(reach("r_head", "r_line", k)).alias("q"), F.expr(f"la div {CELLS} + 1").alias("w"))
+    lines = lines.select("key", "id", "no", "line", "l", "w", *(F.col(c)[i].alias(f"{c}{n}") for c in "pq" for i, n in ((0, "0"), (1, "k"))), (F.col("p")[2] == 0).alias("open"))
+    cells = F.expr("flatten(transform(sequence(p0 div w, pk div w), a -> transform(sequence(q0 div w, qk div w), b -> struct(a, b))))")
+    out = lines.withColumn("cell", F.explode(cells))
+    return out.withColumn("key", F.xxhash64("key", "cell")).withColumn("begin", F.expr("named_struct('a', p0 div w, 'b', q0 div w)")).drop("w")
+
+
+def cut_again(cells: DataFrame, k: int) -> DataFrame:
+    """Entries of cells once for each key of what is left of their lines without what all lines of the cell begin and end with."""
+    one = Window.partitionBy("key")
+    out = cells.withColumns({"p": F.min("p0").over(one), "q": F.min("q0").over(one), "least": F.min("l").over(one)})
+    out = out.withColumns({"whole": F.col("line"), "all": F.col("l"), "line": F.expr("substring(line, p + 1, l - p - least(q, least - p))")}).withColumn("l", F.length("line"))
+    out = out.withColumns({"c": F.expr(length_class("l")), "d": F.expr(length_class(f"greatest(l - {k}, 0)"))})
+    out = out.withColumn("part", F.explode(F.expr(f"array_distinct(concat({keys(k, 'c')}, IF(c = d, array(), {keys(k, 'd')})))")))
+    return out.withColumns({"key": F.xxhash64("key", "part"), "line": F.col("whole"), "l": F.col("all")}).select(cells.columns)
+
+
+def near_in(buckets: DataFrame, k: int) -> DataFrame:
+    """Those open entries (id, no) that are within k edits of an earlier entry of their bucket. A pair that meets in several cells is
+    looked at where the later of their spans begin."""
+    cols = ("id", "no", "l", "line", "p0", "pk", "q0", "qk", "begin")
+    others = buckets.select("key", *(F.col(c).alias(f"o_{c}") for c in cols))
+    first = "o_p0 <= pk AND p0 <= o_pk AND o_q0 <= qk AND q0 <= o_qk AND cell.a = greatest(begin.a, o_begin.a) AND cell.b = greatest(begin.b, o_begin.b)"
+    pairs = buckets.where("open").join(others, "key").where(f"struct(o_id, o_no) < struct(id, no) AND abs(l - o_l) <= {k} AND {first}")
+    return pairs.where(F.expr(share_pieces("line", "o_line", k))).where(F.expr(within("line", "o_line", k))).select("id", "no").distinct()
+
+
 def has_word(line: Column | str) -> Column:
     return F.rlike(F.col(line) if isinstance(line, str) else line, F.lit(r"[^ \t\n\x0B\f\r]"))
 
@@ -109,11 +155,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = some.select("id", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(counts)
     near_class = length_class(f"(l - {max_edits})")
     lines = lines.select("id", "no", "line", F.length("line").alias("l")).select("*", F.expr(length_class("l")).alias("c"), F.expr(near_class).alias("d"))
-    lines = lines.select("id", "no", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(1), "line").alias("y"), F.struct("c", F.expr(keys(max_edits, "c")).alias("keys")).alias("own"), F.expr(f"IF(c = d, NULL, named_struct('c', d, 'keys', {keys(max_edits, 'd')}))").alias("below"))
+    lines = lines.select("id", "no", "l", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(1), "line").alias("y"), F.struct("c", F.expr(keys(max_edits, "c")).alias("keys")).alias("own"), F.expr(f"IF(c = d, NULL, named_struct('c', d, 'keys', {keys(max_edits, 'd')}))").alias("below"))
     # Line numbers as a mask: whether a line is among them then takes one step, however many lines a text has.
     mask = lambda c: F.expr(f"flatten(transform({c}, (x, i) -> array_append(array_repeat(false, x - IF(i = 0, -1, {c}[greatest(i, 1) - 1]) - 1), true)))")
     among = lambda c, no: F.coalesce(F.get(F.col(c), no), F.lit(False))
-    names = lines.groupBy("x", "y").agg(F.min(F.struct("id", "no", "own", "below")).alias("first"))
+    names = lines.groupBy("x", "y").agg(F.min(F.struct("id", "no", "l", "own", "below")).alias("first"))
     names = cut(names.select("first"))
     firsts = names.groupBy(F.col("first.id").alias("id")).agg(F.sort_array(F.collect_set("first.no")).alias("firsts")).select("id", mask("firsts").alias("firsts"))
     marked = dealt.join(firsts, "id", "left")
@@ -121,12 +167,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def met(entries: DataFrame) -> DataFrame:
         """Entries of buckets (key) with several lines: each with the bucket's first line, and how many entries there are."""
         bucket = Window.partitionBy("key")
-        out = entries.select("key", "seg", "c", "id", "no", F.min(at).over(bucket).alias("star"), F.max(at).over(bucket).alias("last"), F.count(F.lit(1)).over(bucket).alias("many"))
+        out = entries.select("key", "id", "no", "l", F.min(at).over(bucket).alias("star"), F.max(at).over(bucket).alias("last"), F.count(F.lit(1)).over(bucket).alias("many"))
         return out.where("star <> last").drop("last")
 
-    segments = F.array(*(F.lit(i) for i in range(max_edits + 1) for _ in range((i if i <= max_edits // 2 else max_edits - i) + 1)))
-    entries = names.select("first.id", "first.no", F.explode(F.array("first.own", "first.below")).alias("k")).where("k is not null")
-    coarse = cut(met(entries.select("id", "no", "k.c", F.posexplode("k.keys").alias("pos", "key")).withColumn("seg", F.element_at(segments, F.col("pos") + 1)).drop("pos")))
+    entries = names.select("first.id", "first.no", "first.l", F.explode(F.array("first.own", "first.below")).alias("k")).where("k is not null")
+    coarse = cut(met(entries.select("id", "no", "l", F.explode("k.keys").alias("key"))))
 
     # From here on all is one query, in which the texts are dealt out once.
     among_ = coarse.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("needed")).select("id", mask("needed").alias("needed"))
@@ -144,17 +189,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def with_all(buckets: DataFrame, settled: DataFrame) -> DataFrame:
         """Pairs of what is not settled with the others of its bucket."""
-        others = buckets.select("key", at.alias("other"), F.col("star").alias("first"))
+        others = buckets.select("key", at.alias("other"), F.col("star").alias("first"), F.col("l").alias("ol"))
         open_ = buckets.where("many > 2").drop("star").join(settled, ["id", "no"], "left_anti")
-        return open_.join(others, "key").where((F.col("other") < at) & (F.col("other") != F.col("first"))).select("id", "no", "other")
+        return open_.join(others, "key").where((F.col("other") < at) & (F.col("other") != F.col("first")) & (F.abs(F.col("l") - F.col("ol")) <= max_edits)).select("id", "no", "other")
 
     settled = near(with_first(coarse))
     settled = settled.union(near(with_all(coarse.where(F.col("many") <= LARGE), settled)))
     large = coarse.where(F.col("many") > LARGE)
     if not large.isEmpty():
-        fine = met(large.select("key", "seg", "c", "id", "no").distinct().join(found, ["id", "no"]).select("id", "no", "c", "seg", F.explode(F.expr(finer_keys(max_edits))).alias("key")))
-        settled = settled.union(near(with_first(fine)))
-        settled = settled.union(near(with_all(fine, settled)))
+        cells = in_cells(large, found, max_edits).withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("key")))
+        settled = settled.union(near_in(cells.where(F.col("many") <= LARGE), max_edits))
+        settled = settled.union(near_in(cut_again(cells.where(F.col("many") > LARGE), max_edits), max_edits))
     lost = settled.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("nears")).select("id", mask("nears").alias("nears"))
     # A later copy of a line that has gone counts as exact.
     empty = F.array().cast("array<boolean>")
