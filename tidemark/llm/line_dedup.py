@@ -69,6 +69,12 @@ def share_pieces(a: str, b: str, k: int) -> str:
     return f"abs(length({a}) - length({b})) <= {k} AND {' + '.join(found)} >= {n - k}"
 
 
+def share_all_pieces(a: str, b: str, k: int) -> str:
+    """SQL: as share_pieces, for all pieces of three characters; dear, but far less so than a distance."""
+    missing = f"filter(sequence(0, length({a}) div 3 - 1), j -> locate(substring({a}, 3 * j + 1, 3), substring({b}, greatest(3 * j + 1 - {k}, 1), {3 + 2 * k})) = 0)"
+    return f"length({a}) < 3 OR size({missing}) <= {k}"
+
+
 def within(a: str, b: str, k: int) -> str:
     """SQL: is the edit distance of strings a and b at most k?
 
@@ -126,7 +132,12 @@ def near_in(buckets: DataFrame, k: int) -> DataFrame:
     others = buckets.select("key", *(F.col(c).alias(f"o_{c}") for c in cols))
     first = "o_p0 <= pk AND p0 <= o_pk AND o_q0 <= qk AND q0 <= o_qk AND cell.a = greatest(begin.a, o_begin.a) AND cell.b = greatest(begin.b, o_begin.b)"
     pairs = buckets.where("open").join(others, "key").where(f"struct(o_id, o_no) < struct(id, no) AND abs(l - o_l) <= {k} AND {first}")
-    return pairs.where(F.expr(share_pieces("line", "o_line", k))).where(F.expr(within("line", "o_line", k))).select("id", "no").distinct()
+    return near_pairs(pairs, "line", "o_line", k).select("id", "no").distinct()
+
+
+def near_pairs(pairs: DataFrame, a: str, b: str, k: int) -> DataFrame:
+    """Pairs whose strings are within k edits; cheap tests come first."""
+    return pairs.where(" AND ".join(f"({test(a, b, k)})" for test in (share_pieces, share_all_pieces, within)))
 
 
 def has_word(line: Column | str) -> Column:
@@ -173,7 +184,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = names.select("first.id", "first.no", "first.l", F.explode(F.array("first.own", "first.below")).alias("k")).where("k is not null")
     coarse = cut(met(entries.select("id", "no", "l", F.explode("k.keys").alias("key"))))
 
-    # From here on all is one query, in which the texts are dealt out once.
+    # From here on all but the cells is one query, in which the texts are dealt out once.
     among_ = coarse.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("needed")).select("id", mask("needed").alias("needed"))
     parts = dealt.join(among_, "id").select("id", "needed", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     found = parts.where(among("needed", F.col("no"))).groupBy("id", "no").agg(F.min("line").alias("line"))
@@ -182,7 +193,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         """Those (id, no) of pairs (id, no, other) that are within max_edits of the other."""
         own = pairs.distinct().select("id", "no", F.col("other.id").alias("oid"), F.col("other.no").alias("ono")).join(found, ["id", "no"])
         both = own.join(found.select(F.col("id").alias("oid"), F.col("no").alias("ono"), F.col("line").alias("other")), ["oid", "ono"])
-        return both.where(F.expr(share_pieces("line", "other", max_edits))).where(F.expr(within("line", "other", max_edits))).select("id", "no").distinct()
+        return near_pairs(both, "line", "other", max_edits).select("id", "no").distinct()
 
     def with_first(buckets: DataFrame) -> DataFrame:
         return buckets.where(F.col("star") < at).select("id", "no", F.col("star").alias("other"))
@@ -197,7 +208,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     settled = settled.union(near(with_all(coarse.where(F.col("many") <= LARGE), settled)))
     large = coarse.where(F.col("many") > LARGE)
     if not large.isEmpty():
-        cells = in_cells(large, found, max_edits).withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("key")))
+        cells = cut(in_cells(large, found, max_edits).withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("key"))))
         settled = settled.union(near_in(cells.where(F.col("many") <= LARGE), max_edits))
         settled = settled.union(near_in(cut_again(cells.where(F.col("many") > LARGE), max_edits), max_edits))
     lost = settled.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("nears")).select("id", mask("nears").alias("nears"))
