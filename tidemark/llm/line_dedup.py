@@ -220,9 +220,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     none = F.lit(None).cast("array<boolean>")
     rest = docs.where(F.col(id_col).isNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), none.alias("firsts"), none.alias("nears"), *([F.struct(*carry).alias("more")] if carry else []))
     out = out.select(rest.columns).union(rest)
-    out = out.withColumns({"all": F.split("text", "\n"), "firsts": F.coalesce("firsts", empty), "nears": F.coalesce("nears", empty)}).drop("text")
+    out = out.withColumns({"firsts": F.coalesce("firsts", empty), "nears": F.coalesce("nears", empty)})
     fits = lambda x: (F.length(x) >= min_chars) & has_word(x) & F.col("id").isNotNull()
-    out = out.withColumn("state", F.transform("all", lambda x, i: F.when(~fits(x), 0).when(~among("firsts", i), 2).when(among("nears", i), 3).otherwise(1)))
-    tally = lambda *s: F.size(F.filter("state", lambda x: x.isin(*s))).cast("long")
-    kept = F.array_join(F.filter("all", lambda x, i: F.expr("state")[i] < 2), "\n")
-    return out.select(F.col("id").alias(id_col), tally(1, 2, 3).alias("n_lines"), tally(2).alias("n_exact"), tally(3).alias("n_near"), kept.alias("kept_text"), *(F.col("more")[c].alias(c) for c in carry))
+    state = lambda x, i: F.when(~fits(x), 0).when(~among("firsts", i), 2).when(among("nears", i), 3).otherwise(1)
+    # Each line beside its state: no line's state is then looked up in an array that the optimizer may build anew for each line.
+    out = out.withColumn("lines", F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("line"), state(x, i).alias("state")))).drop("text")
+    tally = lambda name, *s: F.size(F.filter("lines", lambda x: x.state.isin(*s))).cast("long").alias(name)
+    kept = F.array_join(F.transform(F.filter("lines", lambda x: x.state < 2), lambda x: x.line), "\n").alias("kept_text")
+    # From a generator, since filters on these columns are not pushed below one: there, each would work its columns out again.
+    once = F.inline(F.array(F.struct(tally("n_lines", 1, 2, 3), tally("n_exact", 2), tally("n_near", 3), kept)))
+    return out.select(F.col("id").alias(id_col), once, *(F.col("more")[c].alias(c) for c in carry))
