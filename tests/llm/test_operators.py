@@ -69,6 +69,26 @@ def test_repeats(spark):
     assert repeats.remove_repeats(table(spark, [])).count() == 0
 
 
+def test_repeats_in_other_surroundings(spark):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(3000)]
+    some = lambda k: rng.choices(vocabulary, k=k)
+    docs = []
+    for k in range(0, 450, 3):  # k has the passage elsewhere; k + 1 and k + 2 share what is around it
+        p, left, right = some(50 + k % 21), some(40), some(40)
+        docs += [(k, " ".join(some(30) + p + some(30))), (k + 1, " ".join(some(5) + left + p + right)), (k + 2, " ".join(left + p + right + some(5)))]
+    least = {}
+    for i, t in docs:
+        w = split(t)
+        for a in range(len(w) - 49):
+            least.setdefault(tuple(w[a : a + 50]), i)
+    got = {r.doc_id: r for r in repeats.remove_repeats(table(spark, docs)).collect()}
+    for i, t in docs:
+        w = split(t)
+        gone = {a + x for a in range(len(w) - 49) if least[tuple(w[a : a + 50])] < i for x in range(50)}
+        assert got[i].n_removed == len(gone) and got[i].kept_text == " ".join(x for n, x in enumerate(w) if n not in gone)
+
+
 def test_jaccard_join(spark):
     rng = random.Random(5)
     base = ["".join(rng.choices("abcdefghij", k=4)) for _ in range(120)]

@@ -8,8 +8,9 @@ whole run would depend on words outside of a window.
 Why no repeat is missed: in round r a common passage loses one symbol of 2^(r-1) words at most at either end, so after
 three rounds its inner 36 of 50 words are the same symbols of 8 words at most in both documents. A gram is the shortest
 row of symbols with five words or more (12 at most); of the grams that begin in each 24 words, the one with the least
-hash is an anchor. One such stretch lies inside the inner words, so both documents share an anchor there. Windows around
-anchors that several documents have are then compared whole.
+hash is an anchor. One such stretch begins LOST words after the window and its grams end inside the inner words, so its anchor
+follows from the window's words alone: all documents with the window have it. Windows whose own stretch has an anchor
+that several documents share are then compared whole; where its least document is this one, no smaller one has the window.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import prepare
 from tidemark.llm.words import U, WordHasher, long_lists, mix, per_chunk, rolling, window_rows
 
-ROUNDS, GRAM_WORDS, REACH = 3, 5, 24
+ROUNDS, GRAM_WORDS, REACH, LOST = 3, 5, 24, 7
 #: The least window for which the bound above holds: REACH grams of 12 words at most, and 7 words lost at either end.
 LEAST_WINDOW = 50
 
@@ -60,10 +61,9 @@ def slide(x: np.ndarray, n: int, f) -> np.ndarray:
 
 
 def anchors(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(name, first word, end) of each anchor gram."""
-    none = np.empty(0, np.int64)
+    """(name, first word) of each anchor gram, and the name of the anchor of the stretch that begins at each word."""
     if len(h) < REACH:
-        return np.empty(0, U), none, none
+        return np.empty(0, U), np.empty(0, np.int64), np.empty(0, U)
     name, start = symbols(h, first)
     end = np.append(start[1:], len(h))
     text_end = first[1:][np.searchsorted(first, start, "right") - 1]
@@ -86,7 +86,7 @@ def anchors(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     least[~ok] = 0
     most = slide(np.concatenate((np.zeros(REACH - 1, U), least, np.zeros(REACH - 1, U))), REACH, np.maximum)
     chosen = most[start[i]] == key
-    return key[chosen], start[i][chosen], end[j[i]][chosen]
+    return key[chosen], start[i][chosen], least
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
@@ -120,27 +120,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def around(part, buf, offsets):
         h, first = hasher(buf, offsets)
-        key, start, end = anchors(h, first)
+        _, _, least = anchors(h, first)
         shared = part.column("keys").combine_chunks() if isinstance(part.column("keys"), pa.ChunkedArray) else part.column("keys")
+        at, row = window_rows(first, window)
+        key = least[at + LOST]
         hit = np.isin(key, shared.flatten().to_numpy(zero_copy_only=False).view(U))
-        start, end = start[hit], end[hit]
-        row = np.searchsorted(first, start, "right") - 1
-        low, high = np.maximum(end - window, first[row]), np.minimum(start, first[row + 1] - window)
-        some = high >= low
-        step = np.zeros(len(h) + 1, np.int64)
-        np.add.at(step, low[some], 1)
-        np.add.at(step, high[some] + 1, -1)
-        at = np.flatnonzero(np.cumsum(step)[:-1] > 0)
-        row = np.searchsorted(first, at, "right") - 1
+        at, row, key = at[hit], row[hit], key[hit]
         name = rolling(h, window)[at] if len(at) else np.empty(0, U)
         own = part.column("own")
         counts = own.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         mine = own.flatten().to_numpy(zero_copy_only=False).view(U) ^ mix(np.repeat(np.arange(len(counts)), counts).astype(U))
-        of = np.isin(key[hit] ^ mix((np.searchsorted(first, start, "right") - 1).astype(U)), mine) & some
-        step[:] = 0
-        np.add.at(step, low[of], 1)
-        np.add.at(step, high[of] + 1, -1)
-        late = np.cumsum(step)[:-1][at] == 0
+        late = ~np.isin(key ^ mix(row.astype(U)), mine)
         _, one = np.unique(row.astype(U) * U(0x9FB21C651E98DF25) ^ name, return_index=True)
         return {"id": part.column(0).take(pa.array(row[one])), "name": name[one].view(np.int64), "late": late[one]}
 
@@ -175,7 +165,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     pairs = flagged.where("copy is null").select("id", "text").mapInArrow(per_chunk(found, pa.schema([("id", kind), ("key", pa.int64())])), f"id {id_type}, key long")
     shared = pairs.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key", "least")
-    # A window that holds an anchor first seen in its own document can stand in no smaller one: it is not late.
+    # A window whose own stretch has an anchor first seen in its own document can stand in no smaller one: it is not late.
     hits = pairs.join(shared, "key").groupBy("id").agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("least") == F.col("id"), F.col("key"))).alias("own"))
     windows = flagged.where("copy is null").select("id", "text").join(hits, "id").mapInArrow(per_chunk(around, pa.schema([("id", kind), ("name", pa.int64()), ("late", pa.bool_())])), f"id {id_type}, name long, late boolean")
     repeated = windows.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("name", "least")
