@@ -117,6 +117,16 @@ def test_jaccard_join(spark):
     assert near_copies.jaccard_join(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("n", [2, 3])
+def test_jaccard_join_with_empty_blocks(spark, monkeypatch, n):
+    monkeypatch.setattr(near_copies, "BLOCK_SHINGLES", 100)
+    words_ = [f"w{k}" for k in range(300)]
+    for start in range(0, 40, 10):  # few members over 6 or 9 blocks: most are empty
+        docs = [(start + k, " ".join([*words_, f"end{k}"])) for k in range(n)]
+        got = near_copies.jaccard_join(table(spark, docs)).collect()
+        assert {(r.doc_id, r.class_id, r.n_links) for r in got} == {(i, start, n - 1) for i, _ in docs}
+
+
 def distance(a, b):
     p = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -57,10 +57,12 @@ def intersections(sets_a: list[np.ndarray], sets_b: list[np.ndarray]) -> np.ndar
     return np.rint(out).astype(np.int64)
 
 
-def verified(ids: list, block: np.ndarray, weight: np.ndarray, sets: list[np.ndarray], threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """(links of each member, a member that it is connected to); of two blocks only the pairs across count."""
-    left = np.flatnonzero(block == block.min())
-    right = left if (block == block.min()).all() else np.flatnonzero(block != block.min())
+def verified(ids: list, i: int, j: int, block: np.ndarray, weight: np.ndarray, sets: list[np.ndarray], threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """(links of each member, a member that it is connected to) for blocks i and j; of two blocks only the pairs across count."""
+    left = np.flatnonzero(block == i)
+    right = left if i == j else np.flatnonzero(block == j)
+    if not len(left) or not len(right):  # a block may be empty: the other one's pairs are counted on their own
+        return np.zeros(len(ids), np.int64), np.arange(len(ids))
     n = np.array([len(x) for x in sets])
     both = intersections([sets[i] for i in left], [sets[i] for i in right])
     p, q = threshold.numerator, threshold.denominator
@@ -139,7 +141,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         def flush():
             ids = [x[0] for x in held]
-            links, root = verified(ids, np.array([x[1] for x in held]), np.array([x[2] for x in held]), [np.frombuffer(x[3], U) for x in held], share)
+            links, root = verified(ids, *now[1:], np.array([x[1] for x in held]), np.array([x[2] for x in held]), [np.frombuffer(x[3], U) for x in held], share)
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(links), pa.array([ids[r] for r in root], pa.int64())], ["id", "links", "other"])
 
         for batch in batches:
