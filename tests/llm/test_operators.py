@@ -1,5 +1,6 @@
 """Each operator against brute force or an exact round trip, with nulls, empty texts, repeated rows and empty tables."""
 
+import itertools
 import random
 import re
 import zlib
@@ -223,6 +224,43 @@ def test_leaks(spark):
     assert leaks.decontaminate(table(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_masks_hit_every_window():
+    masks = leaks.masks_for(20, 0.75)
+    for n in range(8, 21):
+        for changed in itertools.combinations(range(n), n // 4):
+            assert any(least <= n <= most and any(all(m[x - a] == "0" for x in changed if a <= x < a + len(m)) for a in range(n - len(m) + 1)) for m, least, most in masks), (n, changed)
+
+
+def test_leaks_of_changed_and_cut_passages(spark):
+    rng = random.Random(9)
+    words_ = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(3000)]
+    items = [(k, rng.choices(words_, k=n)) for k, n in enumerate([40] * 12 + [8, 9, 11, 13, 15, 16, 18, 19, 20, 21])]
+    docs = []
+    for k, item in items:
+        filler = lambda: rng.choices(words_, k=rng.randint(0, 6))
+        for step in (4, 3):
+            docs += [filler() + ["zz" if x % step == r else w for x, w in enumerate(item)] + filler() for r in range(step)]
+        docs += [["zz" if x in {y + 3 for y in rng.sample(range(20), 5 + e)} else w for x, w in enumerate(item)] for e in (0, 0, 0, 1)]
+        for n in (6, 10, 14, 15, 17, 19):
+            at = rng.randint(0, max(len(item) - n, 0))
+            docs += [item[at : at + n], filler() + item[:n], item[-n:] + filler()]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string")
+    for window, share in ((20, 0.75), (12, 0.5), (30, 0.75)):
+        want = {}
+        for i, t in docs:
+            d = t.split()
+            for k, item in items:
+                for shift in range(1 - len(item), len(d)) if set(d) & set(item) else ():
+                    same = [item[x] == d[x + shift] for x in range(max(0, -shift), min(len(item), len(d) - shift))]
+                    w = min(window, len(same))
+                    most = max(sum(same[x : x + w]) for x in range(len(same) - w + 1))
+                    if most >= share * min(window, len(item)):
+                        want[i, k] = max(most, want.get((i, k), 0))
+        got = leaks.decontaminate(table(spark, docs), bench, window=window, share=share).collect()
+        assert {(r.doc_id, r.item_id): r.n_equal for r in got} == want and len(got) == len(want)
+
+
 def test_quality_rules_measures(spark):
     docs = corpus() + [(600, "one two three four five six seven eight nine " * 5)]
     for r in quality_rules.quality(table(spark, docs)).where("doc_id is not null").collect():

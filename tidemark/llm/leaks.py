@@ -2,11 +2,17 @@
 
 A mask is a row of token positions of which some are ignored; the hash of the others is a seed. Seeds of the benchmark
 and of the documents are joined, so a changed token spoils only the seeds that look at it. Around a hit the two texts
-are laid side by side, and the overlap counts if enough of a window of aligned tokens is equal.
+are laid side by side, and the overlap counts if enough of a window of aligned tokens is equal. Where a text begins or ends inside of
+a window, what lies outside counts as changed.
+
+Why no overlap is missed: enumeration of all ways to change a quarter of a window (5 of 20 tokens; of the whole of a shorter
+item from 8 tokens on) shows that a mask hits each of them; the tests repeat it. For other windows and shares, the
+longest row of equal tokens that each window is sure to hold serves as the only mask.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -17,8 +23,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import cut, prepare
 from tidemark.llm.words import U, WordHasher, mix, per_chunk, texts
 
-#: 1: the token counts; 0: any token may stand there.
-MASKS = ("1101101011", "111010011", "10110111")
+#: Tokens in a window, and the share of them that must be equal, for which the masks are enumerated.
+WINDOW, SHARE = 20, 0.75
+#: 1: the token counts; 0: any token may stand there. For items that have a whole window, and for shorter ones.
+MASKS, SHORT_MASKS = ("110111", "1001000111", "11111"), ("10111", "111001", "1001011")
+#: Items with fewer tokens match nothing.
+LEAST_ITEM = 8
+#: Hits that are laid side by side at once.
+HITS = 50_000
 #: Tokens of the benchmark that are joined at once; more are joined in blocks of about this size, one after another.
 BLOCK_TOKENS = 250_000
 
@@ -51,54 +63,77 @@ def seed_rows(first: np.ndarray, span: int, n: int) -> np.ndarray:
     return ok
 
 
+def masks_for(window: int, share: float) -> list[tuple[str, int, int]]:
+    """(mask, least and most tokens of the items that it is for)."""
+    if window == WINDOW and share >= SHARE:
+        return [(m, WINDOW, 1 << 62) for m in MASKS] + [(m, LEAST_ITEM, WINDOW - 1) for m in SHORT_MASKS]
+    need = {w: max(1, math.ceil(share * w)) for w in range(min(LEAST_ITEM, window), window + 1)}
+    return [("1" * min(-(-n // (w - n + 1)) for w, n in need.items()), LEAST_ITEM, 1 << 62)]
+
+
 class Block:
     """Some benchmark items, ready to be looked up in documents."""
 
-    def __init__(self, ids: list, values: list[str]):
+    def __init__(self, ids: list, values: list[str], masks: list[tuple[str, int, int]]):
         buf, offsets = texts(pa.array(values, pa.string()))
-        self.ids = ids
+        self.ids, self.masks = ids, masks
         self.h, self.first = WordHasher(token_table(), lower=True)(buf, offsets)
         name, start = [], []
-        for k, mask in enumerate(MASKS):
+        for k, (mask, least, most) in enumerate(masks):
             s = seeds(self.h, mask, k)
             ok = np.flatnonzero(seed_rows(self.first, len(mask), len(s)))
+            n = np.diff(self.first)[np.searchsorted(self.first, ok, "right") - 1]
+            ok = ok[(n >= least) & (n <= most)]
             name.append(s[ok])
             start.append(ok)
         name, start = np.concatenate(name), np.concatenate(start)
         order = np.argsort(name, kind="stable")
         self.name, self.start = name[order], start[order]
-        self.item = np.searchsorted(self.first, self.start, "right") - 1
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.name >> U(44)).astype(np.int64)] = True
 
 
+def worth(block: Block, h: np.ndarray, first: np.ndarray, span: int, doc: np.ndarray, ref: np.ndarray, window: int, share: float) -> np.ndarray:
+    """(row, item, shift) of the hits (seeds of the span at doc and ref) with a window around them that has enough equal tokens."""
+    row, item = np.searchsorted(first, doc, "right") - 1, np.searchsorted(block.first, ref, "right") - 1
+    inside = doc + span <= first[row + 1]
+    doc, ref, row, item = doc[inside], ref[inside], row[inside], item[inside]
+    reach = max(window - span, 0)
+    x = np.arange(-reach, span + reach)
+    at, to = doc[:, None] + x, ref[:, None] + x
+    both = (at >= first[row][:, None]) & (at < first[row + 1][:, None]) & (to >= block.first[item][:, None]) & (to < block.first[item + 1][:, None])
+    equal = both & (h[np.clip(at, 0, len(h) - 1)] == block.h[np.clip(to, 0, len(block.h) - 1)])
+    same = np.zeros((len(doc), len(x) + 1), np.int64)
+    np.cumsum(equal, axis=1, out=same[:, 1:])
+    size = min(window, len(x))
+    most = (same[:, size:] - same[:, :-size]).max(axis=1, initial=0)
+    on = most >= share * np.minimum(window, np.diff(block.first)[item])
+    return np.unique(np.stack((row, item, doc - ref), 1)[on], axis=0)
+
+
 def leaks_in(block: Block, h: np.ndarray, first: np.ndarray, window: int, share: float) -> list[tuple[int, int, int, int, int, int]]:
     """(row, item, first token in the document, in the item, tokens in the window, equal ones): the best of each pair."""
     found = []
-    for k, mask in enumerate(MASKS):
+    for k, (mask, _, _) in enumerate(block.masks):
         s = seeds(h, mask, k)
         at = np.flatnonzero(block.bits[(s >> U(44)).astype(np.int64)])
-        if not len(at):
-            continue
         low, high = np.searchsorted(block.name, s[at]), np.searchsorted(block.name, s[at], "right")
-        n = high - low
-        doc = np.repeat(at, n)
-        ref = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        row = np.searchsorted(first, doc, "right") - 1
-        inside = doc + len(mask) <= first[row + 1]
-        found.append(np.stack((row, block.item[ref], doc - block.start[ref]), 1)[inside])
+        at, low, n = at[high > low], low[high > low], (high - low)[high > low]
+        ends = np.cumsum(n)
+        for x in range(0, int(ends[-1]) if len(n) else 0, HITS):
+            hit = np.arange(x, min(x + HITS, int(ends[-1])))
+            of = np.searchsorted(ends, hit, "right")
+            found.append(worth(block, h, first, len(mask), at[of], block.start[low[of] + hit - (ends - n)[of]], window, share))
     best: dict = {}
     if found:
         for row, item, shift in np.unique(np.concatenate(found), axis=0).tolist():
             a, b = int(block.first[item]), int(block.first[item + 1])
             lo, hi = max(a, int(first[row]) - shift), min(b, int(first[row + 1]) - shift)
-            w = min(window, b - a)
-            if hi - lo < w:
-                continue
+            w = min(window, hi - lo)
             same = np.concatenate(([0], np.cumsum(block.h[lo:hi] == h[lo + shift : hi + shift])))
             runs = same[w:] - same[:-w]
             x = int(runs.argmax())
-            if runs[x] >= share * w and best.get((row, item), (0,))[0] < runs[x]:
+            if best.get((row, item), (0,))[0] < runs[x]:
                 best[row, item] = (int(runs[x]), lo + x + shift - int(first[row]), lo + x - a, w)
     return [(r, i, d, p, w, n) for (r, i), (n, d, p, w) in sorted(best.items())]
 
@@ -108,8 +143,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Returns id, item id, doc_start and item_start (tokens from 0), n_tokens and n_equal of the best aligned window. Tokens
     are rows of ASCII letters, digits and other characters beyond ASCII, in lower case. A pair counts if `share` of a
-    window of `window` aligned tokens (the whole item, if that is shorter) is equal. Null texts have no tokens; items with
-    fewer tokens than the shortest mask (8) match nothing. Rows with equal ids are looked at one by one, so a pair may
+    window of `window` aligned tokens (the whole item, if that is shorter) is equal; if a text begins or ends inside of the window,
+    as many equal tokens are asked for, and n_tokens is less. Null texts have no tokens; items with fewer than 8 tokens match nothing. Rows with equal ids are looked at one by one, so a pair may
     then come twice. The benchmark is counted first and goes to the tasks in blocks of about block_tokens tokens.
     """
     spark = docs.sparkSession
@@ -122,7 +157,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ddl = f"id {id_type}, item {item_type}, doc_start long, item_start long, n_tokens long, n_equal long"
     tokens = items.agg(F.sum(F.octet_length("text") / 4)).first()[0] or 0
     blocks = max(1, int(-(-tokens // block_tokens)))
-    hasher = WordHasher(token_table(), lower=True)
+    hasher, masks = WordHasher(token_table(), lower=True), masks_for(window, share)
 
     def look_up(block: Block):
         def step(part, buf, offsets):
@@ -136,6 +171,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = []
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()
-        found = look_up(Block([r[0] for r in rows], [r[1] for r in rows]))
+        found = look_up(Block([r[0] for r in rows], [r[1] for r in rows], masks))
         out.append(cut(found) if blocks > 1 else found)
     return reduce(DataFrame.union, out).select(F.col("id").alias(id_col), F.col("item").alias(item_col), "doc_start", "item_start", "n_tokens", "n_equal")
