@@ -38,7 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out repeated lines; a document goes if that leaves it without a word. n_chars follows the text."""
-    out = dedup_lines(docs, carry=("lang", "source"))
+    out = dedup_lines(docs, carry=("lang", "source"), exact_chars=1)
     out = out.where((F.col("n_exact") + F.col("n_near") == 0) | has_word("kept_text"))
     return out.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 

@@ -176,6 +176,19 @@ def test_line_dedup(spark, monkeypatch, large):
         assert line_dedup.dedup_lines(table(spark, [])).count() == 0
 
 
+def test_short_equal_lines(spark, tmp_path):
+    from tidemark.llm import queries
+
+    long = "a line that is long enough for near ones"
+    docs = [(1, f"Menu\n}}\n{long}\n"), (2, "Menu\nmenu\n \n}"), (3, f"}}\n{long}s\nlast\n\n"), (4, "nineteen characters\nnineteen characterz"), (5, "nineteen characters\nü"), (6, "ü"), (None, "Menu"), (7, None)]
+    table(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    import hashlib
+
+    want = {1: (3, 0, 0, docs[0][1]), 2: (3, 2, 0, "menu\n "), 3: (3, 1, 1, "last\n\n"), 4: (2, 0, 0, docs[3][1]), 5: (2, 1, 0, "ü"), 6: (1, 1, 0, ""), None: (0, 0, 0, "Menu"), 7: (0, 0, 0, "")}
+    rows = queries.op2_line_dedup(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_lines, r.n_exact, r.n_near, r.kept_sha256) for r in rows} == {i: (*x[:3], hashlib.sha256(x[3].encode()).hexdigest()) for i, x in want.items()}
+
+
 def test_packing(spark):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -144,10 +144,11 @@ def has_word(line: Column | str) -> Column:
     return F.rlike(F.col(line) if isinstance(line, str) else line, F.lit(r"[^ \t\n\x0B\f\r]"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 2, min_chars: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 2, min_chars: int = 20, carry: tuple[str, ...] = (), exact_chars: int | None = None) -> DataFrame:
     """Takes out lines that stand, or nearly stand, earlier in the corpus.
 
-    Lines are parts between \\n with a word and min_chars characters at least; order is by id, then line. A line goes
+    Lines are parts between \\n with a word and min_chars characters at least, or exact_chars where that is given and less: lines of
+    under min_chars are then looked at for equal ones only. Order is by id, then line. A line goes
     if an earlier line is equal (exact), or else if the first copy of another line within max_edits edits is earlier
     than its own first copy (near; whether or not that line goes too). Returns id, n_lines, n_exact, n_near and kept_text (the
     other lines, joined by \\n) for each row of docs. A null text counts as empty. Rows with a null id keep all their lines.
@@ -157,16 +158,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if min_chars <= max_edits:
         raise ValueError("min_chars must be over max_edits: each segment needs a character")
+    least_chars = min_chars if exact_chars is None else min(exact_chars, min_chars)
     spark = docs.sparkSession
     prepare(spark)
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     some = base.where("id is not null")
     dealt = some.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    counts = (F.length("line") >= min_chars) & has_word("line")
+    counts = (F.length("line") >= least_chars) & has_word("line")
     lines = some.select("id", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(counts)
     near_class = length_class(f"(l - {max_edits})")
-    lines = lines.select("id", "no", "line", F.length("line").alias("l")).select("*", F.expr(length_class("l")).alias("c"), F.expr(near_class).alias("d"))
-    lines = lines.select("id", "no", "l", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(1), "line").alias("y"), F.struct("c", F.expr(keys(max_edits, "c")).alias("keys")).alias("own"), F.expr(f"IF(c = d, NULL, named_struct('c', d, 'keys', {keys(max_edits, 'd')}))").alias("below"))
+    lines = lines.select("id", "no", "line", F.length("line").alias("l")).select("*", *(F.expr(f"IF(l < {min_chars}, NULL, {x})").alias(n) for n, x in (("c", length_class("l")), ("d", near_class))))
+    lines = lines.select("id", "no", "l", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(1), "line").alias("y"), F.expr(f"IF(l < {min_chars}, NULL, named_struct('c', c, 'keys', {keys(max_edits, 'c')}))").alias("own"), F.expr(f"IF(l < {min_chars} OR c = d, NULL, named_struct('c', d, 'keys', {keys(max_edits, 'd')}))").alias("below"))
     # Line numbers as a mask: whether a line is among them then takes one step, however many lines a text has.
     mask = lambda c: F.expr(f"flatten(transform({c}, (x, i) -> array_append(array_repeat(false, x - IF(i = 0, -1, {c}[greatest(i, 1) - 1]) - 1), true)))")
     among = lambda c, no: F.coalesce(F.get(F.col(c), no), F.lit(False))
@@ -221,7 +223,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rest = docs.where(F.col(id_col).isNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), none.alias("firsts"), none.alias("nears"), *([F.struct(*carry).alias("more")] if carry else []))
     out = out.select(rest.columns).union(rest)
     out = out.withColumns({"firsts": F.coalesce("firsts", empty), "nears": F.coalesce("nears", empty)})
-    fits = lambda x: (F.length(x) >= min_chars) & has_word(x) & F.col("id").isNotNull()
+    fits = lambda x: (F.length(x) >= least_chars) & has_word(x) & F.col("id").isNotNull()
     state = lambda x, i: F.when(~fits(x), 0).when(~among("firsts", i), 2).when(among("nears", i), 3).otherwise(1)
     # Each line beside its state: no line's state is then looked up in an array that the optimizer may build anew for each line.
     out = out.withColumn("lines", F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("line"), state(x, i).alias("state")))).drop("text")

@@ -23,7 +23,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(documents(spark, sf_dir))
+    out = dedup_lines(documents(spark, sf_dir), exact_chars=1)
     return out.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
