@@ -335,6 +335,32 @@ def test_licenses(spark):
     assert got[5].base_labels == "cc-by,mit" and all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_several_licenses_in_a_file(spark):
+    rng = random.Random(6)
+    notices = [(label, t.split(), key.split()) for label, t, key in licenses.TEMPLATES]
+    vocabulary = sorted({w for _, t, _ in notices for w in t})
+    docs = [(i, " ".join(rng.sample(["all", "rights", "reserved", "the", "under"], 5))) for i in range(60)]  # makes these words common
+    for i in range(100, 160):
+        parts = rng.choices(vocabulary, k=40 * (i % 3))
+        for _, t, key in rng.sample(notices, rng.randint(1, 4)):
+            free = [x for x in range(len(t)) if t[x] not in key]
+            gone = rng.sample(free, rng.randint(0, len(free)))
+            parts += rng.choices(vocabulary, k=rng.randint(0, 9)) + ["zz" if x in gone else w for x, w in enumerate(t)]
+        docs.append((i, " ".join(parts)))
+    docs.append((99, "MIT License text: permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files. All rights reserved."))
+    got = {r.doc_id: set(r.labels.split(",")) - {""} for r in licenses.find_licenses(table(spark, docs)).collect()}
+    for i, text in docs:
+        d = re.findall("[a-z0-9]+", text.lower())
+        want = {label for phrase, label in licenses.BASE if f" {phrase} " in f" {' '.join(d)} "}
+        for label, t, key in notices:
+            for shift in range(1 - len(t), len(d)):
+                lo, hi = max(shift, 0), min(shift + len(t), len(d))
+                near = " ".join(d[max(0, lo - len(key)) : hi + len(key)])
+                if 100 * sum(d[x] == t[x - shift] for x in range(lo, hi)) >= 45 * len(t) and f" {' '.join(key)} " in f" {near} ":
+                    want.add(label)
+        assert got[i] == want, i
+
+
 def test_pipeline(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     d = "/root/testdata/sf0.001"

@@ -1,9 +1,10 @@
 """License scans by a positional index of rare words.
 
 Templates are indexed by word: for each of their words, where it stands. The inverse document frequency of these words
-over all documents tells which are rare. A file looks up its rarest licence words; the difference between the place in the
-file and in the template is a shift, and words that agree on a shift stand in the same relative order. A shift that enough
-rare words agree on is compared word by word, and the label counts only if one of its key phrases is there as well.
+over all documents tells which are rare. A file looks up the rarest words of each template; the difference between the place in the
+file and in the template is a shift, and words that agree on a shift stand in the same relative order. A shift that two
+rare words agree on is compared word by word, and the label counts only if one of its key phrases is there as well. Of
+each template so many words are rare that any shift with the least share has two of them, whatever else the file holds.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ TEMPLATES = (
     ("public-domain", "this is free and unencumbered software released into the public domain", "released into the public domain"),
     ("all-rights-reserved", "all rights reserved", "all rights reserved"),
 )
-#: A file looks up this many of its rarest licence words; a shift needs this share of a template's words.
-RARE_WORDS, LEAST_SHARE = 12, 0.45
+#: A shift needs this share of a template's words, and this many of its rare ones.
+LEAST_SHARE, LEAST_VOTES = 0.45, 2
 
 
 def hashed(phrase: str) -> np.ndarray:
@@ -96,17 +97,22 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hasher = WordHasher(token_table(), lower=True)
 
     def index():
-        """(rare words in order of hash, their weights, postings (template, place) of each), templates, key phrases."""
+        """(rare words in order of hash, postings (template, place) of each, templates, key phrases)."""
         templates, keys = [hashed(t) for _, t, _ in TEMPLATES], [hashed(k) for _, _, k in TEMPLATES]
         postings: dict = {}
-        for t, words in enumerate(templates):
-            for place, w in enumerate(words.tolist()):
-                postings.setdefault(w, []).append((t, place))
-        idf = {w: math.log((total + 1) / (counts.get(int(np.uint64(w).astype(np.int64)), 0) + 1)) for w in postings}
+        idf = lambda w: math.log((total + 1) / (counts.get(int(np.uint64(w).astype(np.int64)), 0) + 1))
+        for t, words in enumerate(x.tolist() for x in templates):
+            spare = math.ceil(LEAST_SHARE * len(words) - 1e-9) - LEAST_VOTES  # places that need no rare word
+            for w in sorted(set(words), key=lambda w: (idf(w), w)):
+                if words.count(w) <= spare:
+                    spare -= words.count(w)
+                else:
+                    spare = 0
+                    postings.setdefault(w, []).extend((t, place) for place, x in enumerate(words) if x == w)
         order = np.array(sorted(postings), np.uint64)
-        return order, np.array([idf[w] for w in order.tolist()]), [postings[w] for w in order.tolist()], templates, keys
+        return order, [postings[w] for w in order.tolist()], templates, keys
 
-    order, weight, postings, templates, keys = index()
+    order, postings, templates, keys = index()
     base = [(hashed(p), label) for p, label in BASE]
 
     def step(part, buf, offsets):
@@ -127,18 +133,15 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         on = np.flatnonzero(order[col] == h)
         on_row = np.searchsorted(first, on, "right") - 1
         cuts = np.searchsorted(on_row, np.arange(n + 1))
-        for r in np.flatnonzero(np.diff(cuts) >= 2):
+        for r in np.flatnonzero(np.diff(cuts) >= LEAST_VOTES):
             at, words = on[cuts[r] : cuts[r + 1]], col[on[cuts[r] : cuts[r + 1]]]
-            rare = np.unique(words)
-            rare = rare[np.argsort(-weight[rare], kind="stable")][:RARE_WORDS]
-            chosen = np.isin(words, rare)
             shifts: dict = {}
-            for a, w in zip(at[chosen].tolist(), words[chosen].tolist(), strict=True):
+            for a, w in zip(at.tolist(), words.tolist(), strict=True):
                 for t, place in postings[w]:
                     shifts[t, a - place] = shifts.get((t, a - place), 0) + 1
             for (t, shift), votes in shifts.items():
                 words_t = templates[t]
-                if votes < 2:
+                if votes < LEAST_VOTES:
                     continue
                 lo, hi = max(shift, int(first[r])), min(shift + len(words_t), int(first[r + 1]))
                 share = float((h[lo:hi] == words_t[lo - shift : hi - shift]).sum()) / len(words_t)
