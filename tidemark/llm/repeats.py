@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import prepare
+from tidemark.llm.tables import arrow_type, cut, prepare
 from tidemark.llm.words import U, WordHasher, long_lists, mix, per_chunk, rolling, window_rows
 
 ROUNDS, GRAM_WORDS, REACH, LOST = 3, 5, 24, 7
@@ -93,22 +93,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Removes each word of a window of `window` words that also stands in a text with a smaller id.
 
     Returns id, n_words, n_removed, kept_text for each row of docs. A null text counts as empty. A row with a null id
-    keeps all its words and takes none from others. Rows with the same id never take words from each other. Texts
-    shorter than a window lose nothing. Exact copies are found by a 128-bit hash of the text, windows by 64 bits.
+    keeps all its words and takes none from others. Rows with the same id never take words from each other, and each is
+    judged by its own text. Texts shorter than a window lose nothing. Exact copies are found by a 128-bit hash of the
+    text, windows by 64 bits. Ids may be of any type that can be ordered.
     """
     if window < LEAST_WINDOW:
         raise ValueError(f"windows of under {LEAST_WINDOW} words are not sure to hold an anchor")
     spark = docs.sparkSession
     prepare(spark)
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    id_type = base.schema["id"].dataType.simpleString()
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    kind, id_type = arrow_type(base, "id")
     some = base.where("id is not null")  # all that is joined has this filter, so that the texts are dealt out only once
     dealt = some.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    named = some.select("id", F.unhex(F.md5("text")).alias("name"))
-    firsts = named.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("name", "least")
-    copies = named.join(firsts, "name").where("id > least").groupBy("id").agg(F.lit(True).alias("copy"))
-    flagged = dealt.join(copies, "id", "left")
+    text_name = F.unhex(F.md5("text"))
+    named = some.where(F.length("text") >= 2 * window - 1).select("id", text_name.alias("name"))  # shorter texts hold no window
+    # Written, so that the join has a plain exchange on either side: a name with very many rows is then split by the engine.
+    firsts = cut(named.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("name", "least"))
+    copies = named.join(firsts, "name").where("id > least").groupBy("id").agg(F.collect_set("name").alias("copies"))
+    # By id and name: of several rows with one id, only those whose own text is a copy.
+    flagged = dealt.join(copies, "id", "left").select("id", "text", F.when(F.col("copies").isNotNull(), F.array_contains("copies", text_name)).alias("copy"))
     hasher = WordHasher()
 
     def found(part, buf, offsets):
@@ -163,11 +166,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append(b" ".join(words))
         return {"id": part.column(0), "n_words": n, "n_removed": removed, "kept_text": pa.array(out, pa.binary()).cast(pa.string())}
 
-    pairs = flagged.where("copy is null").select("id", "text").mapInArrow(per_chunk(found, pa.schema([("id", kind), ("key", pa.int64())])), f"id {id_type}, key long")
+    pairs = flagged.where("NOT coalesce(copy, false)").select("id", "text").mapInArrow(per_chunk(found, pa.schema([("id", kind), ("key", pa.int64())])), f"id {id_type}, key long")
     shared = pairs.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key", "least")
     # A window whose own stretch has an anchor first seen in its own document can stand in no smaller one: it is not late.
     hits = pairs.join(shared, "key").groupBy("id").agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("least") == F.col("id"), F.col("key"))).alias("own"))
-    windows = flagged.where("copy is null").select("id", "text").join(hits, "id").mapInArrow(per_chunk(around, pa.schema([("id", kind), ("name", pa.int64()), ("late", pa.bool_())])), f"id {id_type}, name long, late boolean")
+    windows = flagged.where("NOT coalesce(copy, false)").select("id", "text").join(hits, "id").mapInArrow(per_chunk(around, pa.schema([("id", kind), ("name", pa.int64()), ("late", pa.bool_())])), f"id {id_type}, name long, late boolean")
     repeated = windows.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("name", "least")
     lost = windows.where("late").drop("late").join(repeated, "name").where("id > least").groupBy("id").agg(F.collect_list("name").alias("names"))
     schema = pa.schema([("id", kind), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])

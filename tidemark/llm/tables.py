@@ -3,24 +3,32 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows that go to Python at once: long texts then stay within a worker's memory.
 ARROW_ROWS = 500
 
 
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches; a checkpoint folder where the cluster names none (tests)."""
+    """Small Arrow batches, for the whole session; a checkpoint folder where the cluster names none (tests)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where no cluster names one (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidemark-checkpoints")
+    """The folder that driver and executors share; a local one only in local mode, where both are one process."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {master} share")
+    return os.path.join(tempfile.gettempdir(), "tidemark-checkpoints")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -31,3 +39,17 @@ def cut(df: DataFrame) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def arrow_type(df: DataFrame, column: str) -> tuple[pa.DataType, str]:
+    """The Arrow type and the SQL type of a column, as functions over Arrow batches declare them."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = df.schema[column].dataType
+    return to_arrow_type(kind), kind.simpleString()
+
+
+def repeated_ids(docs: DataFrame, id_col: str) -> bool:
+    """Whether several rows have one id (nulls aside). Reads the ids alone."""
+    counts = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    return not counts.where("n > 1").isEmpty()
