@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import prepare
+from tidemark.llm.tables import arrow_type, prepare
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
@@ -47,6 +47,17 @@ def even(text: str, bound: float) -> tuple[int, int] | None:
     return None if first is None else (first, last)
 
 
+def united(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The (start, end) that spans cover together, in order and apart from each other."""
+    out: list[tuple[int, int]] = []
+    for a, _, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 def scan(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all spans, in order; in code points. Kinds are numbers of KINDS."""
     found, low = [], text.lower()
@@ -55,14 +66,18 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = list(found)
+    base, k = united(found), 0  # candidates come in order, so one walk along base is enough
     for m in CANDIDATE.finditer(text):
         s = m[0]
         if not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s) or ALLOWED.search(s):
             continue
         bound = next(b for pattern, b in CLASSES if pattern.fullmatch(s))
-        if (part := even(s, bound)) and not any(a < m.start() + part[1] and m.start() + part[0] < b for a, _, b in base):
-            found.append((m.start() + part[0], 3, m.start() + part[1]))
+        if part := even(s, bound):
+            a, b = m.start() + part[0], m.start() + part[1]
+            while k < len(base) and base[k][1] <= a:
+                k += 1
+            if k == len(base) or base[k][0] >= b:
+                found.append((a, 3, b))
     return sorted(found)
 
 
@@ -70,16 +85,17 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, spans array<struct<kind, start, end>>) for each row of docs, spans by start, then kind.
 
     Patterns assign, access and hex are found leftmost first, each for itself; entropy spans that overlap one of these are
-    left out. A null text counts as empty. Rows are scanned one by one, whatever their ids. Texts are scanned whole.
+    left out. A null text counts as empty. Rows are scanned one by one, whatever their ids, and every row is returned. Texts
+    are scanned whole, in time that grows with their length. An empty table gives an empty one; other columns are not read.
     """
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    id_type = rows.schema["id"].dataType.simpleString()
+    kind, id_type = arrow_type(rows, "id")
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in scan(t)] for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(span))], ["id", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(kind), pa.array(out, pa.list_(span))], ["id", "spans"])
 
     return rows.mapInArrow(run, f"id {id_type}, spans array<struct<kind: string, start: bigint, end: bigint>>").withColumnRenamed("id", id_col)
