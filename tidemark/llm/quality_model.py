@@ -1,10 +1,11 @@
 """Quality classifier: random-indexing word vectors, pooled, then a small network with calibrated probabilities.
 
-Every word has a sparse random index vector, made from its hash. Its word vector is the sum of the index vectors of its
-neighbours wherever it stands in the corpus; words share a fixed number of slots by hash, so the table has a fixed size
-whatever the corpus is. A document is the mean of its words' vectors, weighted by rarity, beside the length of the mean of its
-index vectors (long where few words repeat) and the mean of its marks, the kinds of surface that words have. Two layers in
-numpy turn that into a logit, and a temperature fitted on held-back rows turns the logit into a probability.
+Words are rows of letters and digits, and rows of signs, so that marks have vectors too. Every word has a sparse random
+index vector, made from its hash. Its word vector is the sum of the index vectors of its neighbours wherever it stands in
+the corpus; words share a fixed number of slots by hash, so the table has a fixed size whatever the corpus is. A document
+is the mean of its words' vectors, weighted by rarity, their spread, and the length of the mean of its index vectors (long
+where few words repeat). Nothing else is looked at. Two layers in numpy turn that into a logit, and a temperature fitted
+on held-back rows turns the logit into a probability.
 """
 
 from __future__ import annotations
@@ -14,15 +15,46 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import prepare
+from tidemark.llm.tables import arrow_type, prepare
 from tidemark.llm.toxicity import sample
 from tidemark.llm.words import U, WordHasher, chunks
 
-SLOTS, DIM, ONES, REACH, PARTS = 1 << 14, 32, 4, 2, 16
-MARKS = 6
+SLOTS, DIM, ONES, REACH, PARTS = 1 << 16, 32, 4, 2, 16
+#: Words whose vectors are held at once.
+PIECE = 1 << 17
+#: Sums of so many tasks are added up by one task, on each of so many levels; the last one adds up all that is left.
+FAN_IN, LEVELS = 64, 3
+
+
+def kinds() -> np.ndarray:
+    """For each byte: 0 white space, 1 part of a word of letters and digits, 2 part of a word of signs."""
+    t = np.full(256, 2, np.uint8)
+    t[[0x20, *range(0x09, 0x0E)]] = 0
+    t[48:58] = t[65:91] = t[97:123] = t[128:] = 1
+    return t
+
+
+def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all words; offsets: where each text starts, and the end of the last one."""
+    if not len(buf):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    kind = kinds()[buf]
+    edge = np.empty(len(kind), bool)
+    edge[0], edge[1:] = True, kind[1:] != kind[:-1]
+    edge[offsets[1:-1][offsets[1:-1] < len(buf)]] = True
+    starts = np.flatnonzero(edge)
+    ends, word = np.append(starts[1:], len(kind)), kind[starts] > 0
+    return starts[word], ends[word]
+
+
+def words(buf: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, index of each text's first word, one more at the end)."""
+    starts, ends = word_spans(buf, offsets)
+    return hasher.hashes(buf, starts, ends), np.searchsorted(starts, offsets)
 
 
 def index_vectors(slots: int = SLOTS, dim: int = DIM, seed: int = 11) -> np.ndarray:
@@ -59,8 +91,8 @@ def context_sums(h: np.ndarray, first: np.ndarray, index: np.ndarray) -> tuple[n
 def word_vectors(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """(unit vectors of the slots, log rarity of the slots) over all of docs.
 
-    Each task sends one sum of fixed size; sums are added up part by part, in a stream, by PARTS tasks. The driver gets one table of
-    SLOTS * (DIM + 1) numbers.
+    Each task sends one sum of fixed size, in PARTS parts; sums are added up by a tree of tasks, FAN_IN at a time, each in a
+    stream. The driver gets one table of SLOTS * (DIM + 1) numbers.
     """
     hasher, width = WordHasher(), SLOTS // PARTS
 
@@ -68,61 +100,61 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, n
         index = index_vectors()
         total, n = np.zeros((SLOTS, DIM), np.float64), np.zeros(SLOTS, np.float64)
         for _, buf, offsets in chunks(batches):
-            h, first = hasher(buf, offsets)
+            h, first = words(buf, offsets, hasher)
             if len(h):
                 s, c = context_sums(h, first, index)
                 total += s
                 n += c
         both = np.column_stack((total, n))
-        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([both[p * width : (p + 1) * width].astype(np.float32).tobytes() for p in range(PARTS)], pa.binary())], ["part", "sums"])
+        task = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([task] * PARTS, pa.int32()), pa.array([both[p * width : (p + 1) * width].astype(np.float32).tobytes() for p in range(PARTS)], pa.binary())], ["part", "task", "sums"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
+        held: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for p, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held[p] = held.get(p, 0.0) + np.frombuffer(x.as_buffer(), np.float32).astype(np.float64)
+            for p, t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                new = np.frombuffer(x.as_buffer(), np.float32)
+                key = p, t // FAN_IN
+                held[key] = held[key] + new if key in held else new.astype(np.float64)
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["part", "sums"])
-
-    rows = docs.select(F.lit(0).alias("zero"), F.col(text_col).alias("text")).mapInArrow(local, "part int, sums binary").repartition(PARTS, "part").mapInArrow(add, "part int, sums binary").collect()
+            part, task = zip(*held, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(task, pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in held.values()], pa.binary())], ["part", "task", "sums"])
+
+    ddl = "part int, task int, sums binary"
+    sums = docs.select(F.lit(0).alias("zero"), F.col(text_col).alias("text")).mapInArrow(local, ddl)
+    for _ in range(LEVELS):
+        sums = sums.repartition("part", F.floor(F.col("task") / FAN_IN)).mapInArrow(add, ddl)
+    rows = sums.select("part", "sums").collect()
     table = np.zeros((SLOTS, DIM + 1))
     for p, x in rows:
-        table[p * width : (p + 1) * width] += np.frombuffer(bytes(x), np.float64).reshape(width, DIM + 1)
+        table[p * width : (p + 1) * width] += np.frombuffer(bytes(x), np.float32).reshape(width, DIM + 1)
     vectors, n = table[:, :DIM], table[:, DIM]
     vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     return vectors.astype(np.float32), np.log((n.sum() + 1) / (n + 1)).astype(np.float32)
 
 
-def mark_table() -> np.ndarray:
-    """For each byte, what it adds to its word: upper case, lower case, digit, symbol, other."""
-    t = np.zeros((256, 4), np.int32)
-    t[65:91, 0] = t[97:123, 1] = t[48:58, 2] = 1
-    for a, b in ((33, 48), (58, 65), (91, 97), (123, 127)):
-        t[a:b, 3] = 1
-    return t
-
-
 def pooled(buf: np.ndarray, offsets: np.ndarray, hasher: WordHasher, vectors: np.ndarray, rarity: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """A row of features for each text."""
-    starts, ends = hasher.spans(buf, offsets)
-    h, first = hasher.hashes(buf, starts, ends), np.searchsorted(starts, offsets)
+    """A row of features for each text; a text longer than a chunk is pooled piece by piece."""
+    h, first = words(buf, offsets, hasher)
     n = np.diff(first)
-    out = np.zeros((len(n), DIM + 3 + MARKS), np.float32)
+    out = np.zeros((len(n), 2 * DIM + 1), np.float32)
     some = np.flatnonzero(n)
     if not len(some):
         return out
-    s, begin, count = slots_of(h), first[:-1][some], n[some][:, None].astype(np.float32)
-    mean = lambda x: np.add.reduceat(x, begin, axis=0) / count
-    w = rarity[s][:, None]
-    out[some, :DIM] = mean(vectors[s] * w) / np.maximum(mean(w), 1e-6)
-    out[some, DIM] = np.linalg.norm(mean(index[s]), axis=1) * np.sqrt(np.minimum(count[:, 0], 50)) / 4
-    out[some, DIM + 1] = np.log1p(count[:, 0]) / 4
-    sums = np.zeros((len(buf) + 1, 4), np.int32)
-    np.cumsum(mark_table()[buf], axis=0, out=sums[1:])
-    upper, lower, digit, symbol = (sums[ends] - sums[starts]).T
-    marks = np.column_stack(((upper >= 2) & (lower == 0), symbol >= 2, symbol >= 1, digit >= 1, (lower == 0) & (upper == 0), ends - starts >= 16)).astype(np.float32)
-    out[some, DIM + 2] = mean((ends - starts)[:, None].astype(np.float32))[:, 0] / 8
-    out[some, DIM + 3 :] = mean(marks)
+    begin, count = first[:-1][some], n[some][:, None].astype(np.float64)
+    sums = np.zeros((len(some), 3 * DIM + 1))  # weighted vectors, vectors squared, index vectors, weights
+    plain = np.zeros((len(some), DIM))
+    row = np.repeat(np.arange(len(some)), n[some])
+    for a in range(0, len(h), PIECE):
+        s, r = slots_of(h[a : a + PIECE]), row[a : a + PIECE]
+        v, w = vectors[s], rarity[s][:, None]
+        cut = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+        add = lambda x: np.add.reduceat(x, cut, axis=0)  # noqa: E731, B023
+        sums[r[cut]] += np.column_stack((add(v * w), add(v * v), add(index[s]), add(w)))
+        plain[r[cut]] += add(v)
+    out[some, :DIM] = sums[:, :DIM] / np.maximum(sums[:, -1:], 1e-6)
+    out[some, DIM : 2 * DIM] = np.sqrt(np.maximum(sums[:, DIM : 2 * DIM] / count - (plain / count) ** 2, 0))
+    out[some, 2 * DIM] = np.linalg.norm(sums[:, 2 * DIM : 3 * DIM] / count, axis=1) * np.sqrt(np.minimum(count[:, 0], 50)) / 4
     return out
 
 
@@ -183,7 +215,7 @@ def classify(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str =
     """
     prepare(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type = base.schema["id"].dataType.simpleString()
+    kind, id_type = arrow_type(base, "id")
     vectors, rarity = word_vectors(base)
     hasher = WordHasher()
 
@@ -193,7 +225,7 @@ def classify(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str =
             for part, buf, offsets in chunks(batches):
                 x = pooled(buf, offsets, hasher, vectors, rarity, index)
                 last = pa.array(net(x)) if net else pa.array([r.tobytes() for r in x], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), last], ["id", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(kind) if net else part.column(0), last], ["id", "x"])
 
         return run
 
