@@ -251,6 +251,11 @@ def test_leaks(spark):
     for tokens in (250_000, 10):
         got = {(r.doc_id, r.item_id) for r in leaks.decontaminate(table(spark, docs), bench, block_tokens=tokens).collect()}
         assert got == {(1, 7), (2, 7), (None, 7)}
+    short = spark.createDataFrame([(k, t) for k, t in enumerate(["", "zebra", "two Words", "one two three four five six seven", "x x x"])], "item_id long, text string")
+    docs = [(1, "a ZEBRA, here"), (2, "two. words"), (2, "zebra and two words"), (3, "words two"), (4, "so one two three four five six seven eight"), (5, "one two three four 5 six seven"), (6, "x x"), (7, "x x x x")]
+    for tokens in (250_000, 1):
+        got = sorted((r.doc_id, r.item_id) for r in leaks.decontaminate(table(spark, docs), short, block_tokens=tokens).collect())
+        assert got == [(1, 1), (2, 1), (2, 2), (4, 3), (7, 4)]
     assert leaks.decontaminate(table(spark, docs), bench.limit(0)).count() == 0
 
 
@@ -287,8 +292,34 @@ def test_leaks_of_changed_and_cut_passages(spark):
                     most = max(sum(same[x : x + w]) for x in range(len(same) - w + 1))
                     if most >= share * min(window, len(item)):
                         want[i, k] = max(most, want.get((i, k), 0))
-        got = leaks.decontaminate(table(spark, docs), bench, window=window, share=share).collect()
-        assert {(r.doc_id, r.item_id): r.n_equal for r in got} == want and len(got) == len(want)
+        for tokens in (250_000, 10):
+            got = leaks.decontaminate(table(spark, docs), bench, window=window, share=share, block_tokens=tokens).collect()
+            assert {(r.doc_id, r.item_id): r.n_equal for r in got} == want and len(got) == len(want)
+
+
+def test_leaks_of_texts_that_repeat_themselves(spark):
+    import time
+
+    rng = random.Random(1)
+    few = [" ".join(rng.choices(["a", "b"], k=rng.randint(1, 60))) for _ in range(30)] + ["a b c " * 20, "a " * 50, "a b " * 9 + "c " + "a b " * 9]
+    bench = spark.createDataFrame([(k, t) for k, t in enumerate(few[:12] + few[-3:])], "item_id long, text string")
+    want = {}
+    for i, t in enumerate(few):
+        d = t.split()
+        for k, item in enumerate(x.split() for x in few[:12] + few[-3:]):
+            for shift in range(1 - len(item), len(d)):
+                same = [item[x] == d[x + shift] for x in range(max(0, -shift), min(len(item), len(d) - shift))]
+                w = min(20, len(same))
+                most = max(sum(same[x : x + w]) for x in range(len(same) - w + 1))
+                if most >= (0.75 if len(item) >= 8 else 1) * min(20, len(item)):
+                    want[i, k] = max(most, want.get((i, k), 0))
+    for tokens in (250_000, 10):
+        got = leaks.decontaminate(table(spark, list(enumerate(few))), bench, block_tokens=tokens).collect()
+        assert {(r.doc_id, r.item_id): r.n_equal for r in got} == want
+    block = leaks.Block([1], ["x " * 60_000], leaks.masks_for(20, 0.75))
+    h, first = words.WordHasher(leaks.token_table(), lower=True)(*words.texts(__import__("pyarrow").array(["x " * 60_000])))
+    began = time.time()
+    assert leaks.leaks_in(block, h, first, 20, 0.75)[0][5] == 20 and time.time() - began < 60
 
 
 def test_quality_rules_measures(spark):
