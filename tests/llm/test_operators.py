@@ -119,20 +119,60 @@ def test_jaccard_join(spark):
     near_copies_ = near_copies.BLOCK_SHINGLES
     near_copies.BLOCK_SHINGLES = 600  # several blocks
     try:
-        got = {r.doc_id: r for r in near_copies.jaccard_join(table(spark, docs)).collect()}
+        got = near_copies.jaccard_join(table(spark, docs)).collect()
+        unique = near_copies.jaccard_join(table(spark, docs).where("doc_id is not null")).collect()
     finally:
         near_copies.BLOCK_SHINGLES = near_copies_
-    sets = {i: {tuple(split(t)[k : k + 5]) for k in range(len(split(t)) - 4)} for i, t in docs if i is not None}
-    links = {i: {j for j in sets if i != j and sets[i] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])} for i in sets}
-    assert None not in got and len(got) == len(sets)
-    for i in sets:
+    assert rows_of(got) == brute_join(docs) and rows_of(unique) == brute_join([d for d in docs if d[0] is not None])
+    assert near_copies.jaccard_join(table(spark, [])).count() == 0
+
+
+def rows_of(rows):
+    return sorted(((r.doc_id is not None, r.doc_id or 0), (r.class_id is not None, r.class_id or 0), r.n_links, r.n_shingles) for r in rows)
+
+
+def brute_join(docs):
+    sets = [{tuple(split(t)[k : k + 5]) for k in range(len(split(t)) - 4)} for _, t in docs]
+    links = [{j for j in range(len(docs)) if i != j and s and 5 * len(s & sets[j]) >= 4 * len(s | sets[j])} for i, s in enumerate(sets)]
+    out = []
+    for i, (doc_id, _) in enumerate(docs):
         seen, todo = {i}, [i]
         while todo:
             new = links[todo.pop()] - seen
             seen |= new
             todo += new
-        assert (got[i].class_id, got[i].n_links) == (min(seen), len(links[i]))
-    assert near_copies.jaccard_join(table(spark, [])).count() == 0
+        out.append(((doc_id is not None, doc_id or 0), min((docs[j][0] is not None, docs[j][0] or 0) for j in seen), len(links[i]), len(sets[i])))
+    return sorted(out)
+
+
+def test_jaccard_join_of_rows_with_one_id(spark):
+    rng = random.Random(11)
+    t, u = (" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(60)) for _ in range(2))
+    docs = [(1, t), (5, t + " end"), (5, u), (5, u), (6, u), (None, "x " + u), (None, None), (None, "")]
+    for n in (1, 3, 7):
+        got = near_copies.jaccard_join(table(spark, docs).repartition(n)).collect()
+        assert rows_of(got) == brute_join(docs)
+    names = table(spark, [d for d in docs if d[0] != 5 and d[0]]).withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert {(r.doc_id, r.class_id, r.n_links) for r in near_copies.jaccard_join(names).collect()} == {("d1", "d1", 0), ("d6", "d6", 0)}
+
+
+def test_jaccard_join_finds_pairs_at_the_threshold(spark):
+    rng = random.Random(13)
+    docs = []
+    for k in range(0, 1200, 2):  # 95 n-grams, of which 10 differ: 85 of 105, a similarity of 0.81; 600 pairs, each on its own
+        w = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(99)]
+        docs += [(k, " ".join(w)), (k + 1, " ".join(["x" if x in (20, 60) else y for x, y in enumerate(w)]))]
+    passage = [f"p{x}" for x in range(60)]  # a passage that many share, so that their nodes are crowded
+    docs += [(2000 + k, " ".join([*passage, *(f"{k}w{x}" for x in range(30))])) for k in range(200)]
+    got = {r.doc_id: r.n_links for r in near_copies.jaccard_join(table(spark, docs)).collect()}
+    assert [got[i] for i in range(1200)] == [1] * 1200 and not any(got[2000 + k] for k in range(200))
+
+
+def test_short_trees():
+    for trees, depth, shortest in ((32, 8, 5), (24, 6, 6), (4, 8, 2)):
+        k = near_copies.short_trees(0.8, trees, depth, shortest, 0.9999)
+        recall = lambda k: 1 - (1 - 0.8**shortest) ** k * (1 - 0.8**depth) ** (trees - k)
+        assert k == trees or recall(k) >= 0.9999 and (not k or recall(k - 1) < 0.9999)
 
 
 @pytest.mark.parametrize("n", [2, 3])

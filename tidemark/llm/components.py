@@ -23,7 +23,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return pairs.select(F.col("u").alias("id"), F.col("v").alias("root")).union(pairs.select("v", "v")).distinct()
         before = tuple(state)
         both = pairs.union(pairs.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("n")).select("u", F.least("u", "n").alias("m"))
+        # Written, so that the join has a plain exchange on either side: an id with very many links is then split by the engine.
+        least = cut(both.groupBy("u").agg(F.min("v").alias("n")).select("u", F.least("u", "n").alias("m")))
         # v keeps one row for each u that it is larger than
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))

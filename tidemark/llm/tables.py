@@ -7,7 +7,7 @@ import re
 import tempfile
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that go to Python at once: long texts then stay within a worker's memory.
@@ -49,7 +49,21 @@ def arrow_type(df: DataFrame, column: str) -> tuple[pa.DataType, str]:
     return to_arrow_type(kind), kind.simpleString()
 
 
-def repeated_ids(docs: DataFrame, id_col: str) -> bool:
-    """Whether several rows have one id (nulls aside). Reads the ids alone."""
-    counts = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
-    return not counts.where("n > 1").isEmpty()
+def unique_ids(docs: DataFrame, id_col: str) -> bool:
+    """Whether every row has an id of its own, none of them null. Reads the ids alone."""
+    return docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where(F.col(id_col).isNull() | (F.col("n") > 1)).isEmpty()
+
+
+def keyed(docs: DataFrame, id_col: str, key_col: str) -> DataFrame:
+    """docs with a key of its own for each row: the id where ids are unique, else the id and a number, written so that it stays.
+
+    Keys are ordered as ids are; a null id comes first.
+    """
+    if unique_ids(docs, id_col):
+        return docs.withColumn(key_col, F.col(id_col))
+    return cut(docs.withColumn(key_col, F.struct(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"))))
+
+
+def id_of(docs: DataFrame, key: str, id_col: str, id_type: str) -> Column:
+    """The id in a key that keyed() made."""
+    return (F.col(key) if docs.schema[key].dataType.simpleString() == id_type else F.col(key)["id"]).alias(id_col)
