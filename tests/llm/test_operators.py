@@ -195,9 +195,10 @@ def distance(a, b):
     return p[-1]
 
 
-@pytest.mark.parametrize("large", [16, 2])
-def test_line_dedup(spark, monkeypatch, large):
+@pytest.mark.parametrize(("large", "long"), [(16, 1000), (2, 30)])
+def test_line_dedup(spark, monkeypatch, large, long):
     monkeypatch.setattr(line_dedup, "LARGE", large)
+    monkeypatch.setattr(line_dedup, "LONG", long)
     rng = random.Random(3)
     base = ["".join(rng.choices("abcd ", k=rng.randint(24, 40))) for _ in range(12)]
 
@@ -246,6 +247,26 @@ def test_short_equal_lines(spark, tmp_path):
     assert {r.doc_id: (r.n_lines, r.n_exact, r.n_near, r.kept_sha256) for r in rows} == {i: (*x[:3], hashlib.sha256(x[3].encode()).hexdigest()) for i, x in want.items()}
 
 
+def test_lines_of_rows_with_one_id(spark):
+    a, near, novel = "a line that stands in several texts, as it is", "a line that stands in several texts, as it was", "zebra novel content that stands in no other text"
+    docs = [(1, a), (5, near), (5, novel), (5, novel + "\n" + a), (6, novel), (None, a)]
+    got = sorted((r.doc_id or 0, r.n_lines, r.n_exact, r.n_near, r.kept_text) for r in line_dedup.dedup_lines(table(spark, docs), carry=("lang",)).collect())
+    five = [g for g in got if g[0] == 5]
+    assert [g for g in got if g[0] != 5] == [(0, 0, 0, 0, a), (1, 1, 0, 0, a), (6, 1, 1, 0, "")]
+    assert (5, 1, 0, 1, "") in five and sum(g[4].count("zebra") for g in five) == 1 and sum(g[2] for g in five) == 2
+    same = line_dedup.dedup_lines(table(spark, [(5, novel), (5, novel), (6, novel)])).collect()
+    assert sorted((r.doc_id, r.kept_text) for r in same) == [(5, novel), (5, novel), (6, "")]
+
+
+def test_lines_of_a_very_long_text(spark):
+    rng = random.Random(6)
+    lines = ["".join(rng.choices("abcdefgh ", k=40)) for _ in range(20_000)]
+    one = "".join(rng.choices("abcdefgh ", k=200_000))  # one very long line
+    docs = [(1, "\n".join(lines)), (2, "\n".join([lines[7], lines[9][:-1] + "z", "x" * 30, lines[19_999]])), (3, one), (4, one + "y")]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(table(spark, docs)).collect()}
+    assert (got[1].n_exact, got[2].n_exact, got[2].n_near, got[2].kept_text) == (0, 2, 1, "x" * 30) and got[4].n_near == 1 and got[4].kept_text == ""
+
+
 def test_packing(spark):
     import public_tokenizers
     from tokenizers import Tokenizer

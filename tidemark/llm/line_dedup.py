@@ -4,7 +4,8 @@ A line is cut into max_edits + 1 segments. Of two lines within max_edits edits,
 other: segment i with at most i edits before it and max_edits - i after it. The first half of the segments is therefore
 placed from the line's start, the second half from its end, and each is indexed at the few shifts that remain. Segment
 sizes go by classes of length, so that lines of nearly the same length have the same ones. Lines that meet must also
-share most of a finer row of pieces; what is left is compared by a banded bit-parallel edit distance.
+share most of a finer row of pieces; what is left is compared by a banded bit-parallel edit distance, very long lines by
+Landau and Vishkin's rows.
 
 Many lines can share a segment and yet be far apart, as copies of a text with other words exchanged are. A bucket with more
 than LARGE lines is split by where its lines leave its first line s. Let P_e(x) be the longest prefix of s that some prefix of x
@@ -18,11 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import cut, prepare
+from tidemark.llm.tables import cut, prepare, unique_ids
 
 
 #: Buckets with more lines than this are split before all their lines meet.
 LARGE = 16
+#: Lines with more characters are compared by the rows of reach() alone, whose cost is that of a few readings of the line.
+LONG = 1000
 #: Parts of a bucket's first line, by which places of edits are told apart.
 CELLS = 16
 
@@ -137,7 +140,10 @@ def near_in(buckets: DataFrame, k: int) -> DataFrame:
 
 def near_pairs(pairs: DataFrame, a: str, b: str, k: int) -> DataFrame:
     """Pairs whose strings are within k edits; cheap tests come first."""
-    return pairs.where(" AND ".join(f"({test(a, b, k)})" for test in (share_pieces, share_all_pieces, within)))
+    short = " AND ".join(f"({test(a, b, k)})" for test in (share_all_pieces, within))
+    steps = "transform(sequence(CAST(floor(log2(greatest(least(la, lb), 1))) AS INT), 0, -1), t -> shiftleft(1, t))"
+    long = f"transform(array(length({a})), la -> transform(array(length({b})), lb -> transform(array({steps}), steps -> {reach(a, b, k)})[0])[0])[0][2] = 1"
+    return pairs.where(f"({share_pieces(a, b, k)}) AND IF(length({a}) > {LONG}, {long}, {short})")
 
 
 def has_word(line: Column | str) -> Column:
@@ -147,21 +153,24 @@ def has_word(line: Column | str) -> Column:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 2, min_chars: int = 20, carry: tuple[str, ...] = (), exact_chars: int | None = None) -> DataFrame:
     """Takes out lines that stand, or nearly stand, earlier in the corpus.
 
-    Lines are parts between \\n with a word and min_chars characters at least, or exact_chars where that is given and less: lines of
-    under min_chars are then looked at for equal ones only. Order is by id, then line. A line goes
-    if an earlier line is equal (exact), or else if the first copy of another line within max_edits edits is earlier
-    than its own first copy (near; whether or not that line goes too). Returns id, n_lines, n_exact, n_near and kept_text (the
-    other lines, joined by \\n) for each row of docs. A null text counts as empty. Rows with a null id keep all their lines.
-    Of rows with the same id, the lines are compared by number only: of a number that several of them have, the least text
-    counts as the line for near copies. Equal lines are found by 128-bit hashes. Columns named in carry are returned as well; of
-    rows with the same id, the least such columns stand for all.
+    Lines are parts between \n with a word and min_chars characters at least, or exact_chars where that is given and less: lines of
+    under min_chars are then looked at for equal ones only. Order is by id, then line. A line goes if an earlier line is equal
+    (exact), or else if the first copy of another line within max_edits edits is earlier than its own first copy (near;
+    whether or not that line goes too). Returns id, n_lines, n_exact, n_near and kept_text (the other lines, joined by \n) for
+    each row of docs. A null text counts as empty. Rows with a null id keep all their lines. Of rows with the same id each has
+    lines of its own, in the order of a hash of their texts; rows with the same id and text count as one and share its
+    lines' fate. Equal lines are found by 128-bit hashes. Columns named in carry are returned as well; of rows with the same
+    id and text, the least such columns stand for all. Ids may be of any type that can be ordered.
     """
     if min_chars <= max_edits:
         raise ValueError("min_chars must be over max_edits: each segment needs a character")
     least_chars = min_chars if exact_chars is None else min(exact_chars, min_chars)
     spark = docs.sparkSession
     prepare(spark)
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    unique = unique_ids(docs.where(F.col(id_col).isNotNull()), id_col)
+    key = F.col(id_col) if unique else F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("row")))
+    base = docs.select(key.alias("id"), text.alias("text"))
     some = base.where("id is not null")
     dealt = some.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
     counts = (F.length("line") >= least_chars) & has_word("line")
@@ -218,9 +227,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty = F.array().cast("array<boolean>")
     out = marked.join(lost, "id", "left")
     if carry:
-        out = out.join(docs.select(F.col(id_col).alias("id"), F.struct(*carry).alias("more")).where("id is not null").groupBy("id").agg(F.min("more").alias("more")), "id", "left")
+        out = out.join(docs.select(key.alias("id"), F.struct(*carry).alias("more")).where("id is not null").groupBy("id").agg(F.min("more").alias("more")), "id", "left")
     none = F.lit(None).cast("array<boolean>")
-    rest = docs.where(F.col(id_col).isNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), none.alias("firsts"), none.alias("nears"), *([F.struct(*carry).alias("more")] if carry else []))
+    rest = docs.where(F.col(id_col).isNull()).select(key.alias("id"), text.alias("text"), none.alias("firsts"), none.alias("nears"), *([F.struct(*carry).alias("more")] if carry else []))
     out = out.select(rest.columns).union(rest)
     out = out.withColumns({"firsts": F.coalesce("firsts", empty), "nears": F.coalesce("nears", empty)})
     fits = lambda x: (F.length(x) >= least_chars) & has_word(x) & F.col("id").isNotNull()
@@ -231,4 +240,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.array_join(F.transform(F.filter("lines", lambda x: x.state < 2), lambda x: x.line), "\n").alias("kept_text")
     # From a generator, since filters on these columns are not pushed below one: there, each would work its columns out again.
     once = F.inline(F.array(F.struct(tally("n_lines", 1, 2, 3), tally("n_exact", 2), tally("n_near", 3), kept)))
-    return out.select(F.col("id").alias(id_col), once, *(F.col("more")[c].alias(c) for c in carry))
+    return out.select((F.col("id") if unique else F.col("id")["id"]).alias(id_col), once, *(F.col("more")[c].alias(c) for c in carry))
