@@ -577,14 +577,3 @@ def test_several_licenses_in_a_file(spark):
                 if 100 * sum(d[x] == t[x - shift] for x in range(lo, hi)) >= 45 * len(t) and f" {' '.join(key)} " in f" {near} ":
                     want.add(label)
         assert got[i] == want, i
-
-
-def test_pipeline(spark):
-    corpus_pipeline = pytest.importorskip("corpus_pipeline")
-    d = "/root/testdata/sf0.001"
-    docs = before = spark.read.parquet(f"{d}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, d)
-        assert tuple(docs.columns) == corpus_pipeline.COLUMNS and docs.dtypes == before.dtypes, name
-    rows = corpus_pipeline.run(spark, d).collect()
-    assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()} and len(rows) > 0.5 * before.count()
