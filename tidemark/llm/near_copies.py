@@ -27,8 +27,8 @@ from tidemark.llm.components import components
 from tidemark.llm.tables import arrow_type, cut, id_of, keyed, prepare
 from tidemark.llm.words import U, WordHasher, mix, per_chunk, rolling, window_rows
 
-#: N-grams in a block of a group.
-BLOCK_SHINGLES = 200_000
+#: N-grams in a block of a group; a text counts as LEAST_SHINGLES at least, so that a block has 2,000 texts at most.
+BLOCK_SHINGLES, LEAST_SHINGLES = 200_000, 100
 
 
 #: Bits of a label, and texts in a node from which on it is crowded.
@@ -82,11 +82,11 @@ def verified(ids: list, i: int, j: int, block: np.ndarray, weight: np.ndarray, s
     links[left] += hit @ weight[right]
     if right is not left:
         links[right] += hit.T @ weight[left]
-    root, top = np.arange(len(ids)), len(ids)
+    root, top = np.arange(len(ids), dtype=np.int32), np.int32(len(ids))
     while True:  # each takes the least of its neighbours', until nothing changes
         before = root.copy()
-        np.minimum.at(root, left, np.where(hit, root[right][None, :], top).min(axis=1))
-        np.minimum.at(root, right, np.where(hit, root[left][:, None], top).min(axis=0))
+        root[left] = np.minimum(root[left], np.where(hit, root[right][None, :], top).min(axis=1))
+        root[right] = np.minimum(root[right], np.where(hit, root[left][:, None], top).min(axis=0))
         root = root[root]
         if (root == before).all():
             return links, root
@@ -197,7 +197,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         links = links.union(shared.join(used, "node").where("id > least").select("id", "least"))
     groups = cut(components(links))
     sized = groups.join(reps, "id")
-    blocks = cut(sized.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks")))
+    blocks = cut(sized.groupBy("root").agg(F.ceil(F.sum(F.greatest("n", F.lit(LEAST_SHINGLES))) / BLOCK_SHINGLES).alias("blocks")))
     placed = sized.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     sets = base.join(placed.select("id"), "id", "left_semi").mapInArrow(per_chunk(shingles, pa.schema([("id", kind), ("set", pa.binary())])), f"id {id_type}, set binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
