@@ -7,14 +7,18 @@ import warnings
 import pytest
 from pyspark.sql import functions as F
 
+import tidemark.sources.lake as lake_module
+from tidemark import cli
 from tidemark.config import Settings
-from tidemark.operators.aggregate import fold
+from tidemark.functions.decode import by_python, decode
+from tidemark.operators.aggregate import fold, whole
 from tidemark.operators.route import process
-from tidemark.operators.windowing import idle_watermark, prefix_max
+from tidemark.operators.windowing import idle_watermark, prefix_max, slices
+from tidemark.plans import views
 from tidemark.sources import synthetic
 from tidemark.sources.lake import Lake
-from tidemark.sources.records import RAW, dead_letter_messages, file_stream, kafka_options
-from tidemark.streaming.service import batch_function, native, start
+from tidemark.sources.records import RAW, dead_letter_messages, file_stream, kafka_options, replayed_messages
+from tidemark.streaming.service import Metrics, batch_function, native, start
 
 BASE = 1_789_387_200  # 2026-09-14 12:00:00 UTC
 W120 = Settings(lateness_seconds=120)
@@ -138,14 +142,17 @@ def test_closed_form_equals_the_simulator_in_any_batches(spark, tmp_path, seed):
     assert got == want
     one = process(raw(spark, values), W120, now)
     key = ["window_start", "merchant_id", "events_total", "gross_amount_minor", "distinct_users", "revision"]
-    whole = sorted(map(tuple, fold(one.deltas(), one.users(), 60, one.watermark()).select(*key).collect()))
-    assert sorted(map(tuple, lake.aggregates(60).select(*key).collect())) == whole
+    all_ = sorted(map(tuple, fold(one.deltas(), one.users(), 60, one.watermark()).select(*key).collect()))
+    assert sorted(map(tuple, lake.aggregates(60).select(*key).collect())) == all_
+    assert sorted(map(tuple, whole(one.rows, 60, one.watermark()).select(*key).collect())) == all_
 
 
 def test_sliced_prefix_equals_the_single_one(spark):
     df = spark.createDataFrame([(k, (k * 7919) % 1000 if k % 9 else None) for k in range(500)], "k bigint, v bigint")
     one = prefix_max(df, F.col("v"), ["k"], "m").orderBy("k").collect()
     assert prefix_max(df, F.col("v"), ["k"], "m", F.floor(F.col("k") / 37)).select("k", "v", "m").orderBy("k").collect() == one
+    for n in (1, 2, 9):
+        assert prefix_max(df, F.col("v"), ["k"], "m", slices(df, F.col("k"), n)).select("k", "v", "m").orderBy("k").collect() == one
 
 
 def test_crash_before_the_marker_leaves_nothing_visible(spark, tmp_path):
@@ -167,14 +174,115 @@ def test_stream_with_scenarios(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     q = start(file_stream(spark, str(tmp_path / "in/*")), lake, Settings(), str(tmp_path / "cp"), clock=lambda: BASE + 3600, trigger={"availableNow": True})
     q.awaitTermination(120)
-    counts = {}
-    for c in lake.commits().values():
-        for k, v in c["counts"].items():
-            counts[k] = counts.get(k, 0) + v
+    counts = lake.state()["counts"]
     assert sum(counts.values()) == 800 and counts["malformed"] > 0 and counts["contract_violation"] > 0
     assert lake.aggregates(60).agg(F.sum("events_total")).first()[0] == counts["on_time"] + counts.get("late_accepted", 0)
 
 
+def test_both_readers_agree(spark):
+    """The JVM's reading of plain records and Python's, on records that are nearly plain."""
+    rng = random.Random(5)
+    base = json.dumps(event(5, 1))
+    bits = ['"', "{", "}", "[", "]", "\\", ",", ":", "1", "-0", "0.5", "1e3", "true", "null", "NaN", " ", "\n", "\t", "é", "\x00", "\u2028", '"event_id": 7', '"x": {"y": 1}', "'", "00", "9" * 20, "Infinity", "//", "T", "Z", "+02:00", ".123456", ".1234567", "24"]
+    values = [base, base + " ", " " + base, base + " x", "{}", "[]", "", "null", "1", '"a"', '{"a": 1, "a": 2}', '{"event_id": "a", "event_id": "b"}', base.replace("order_paid", "a}b"), base.replace("evt-1", "\\ud800"), base.replace("evt-1", "\\u00e9")]
+    values += [json.dumps(event(5, 1, **{f: v})) for f in ("event_id", "occurred_at", "amount_minor", "user_id", "schema_version", "currency") for v in (None, "", 0, -0.0, 1, -1, 2**63, 10**30, 1.0, True, False, [], {}, "x", "2026-01-01", "2026-01-01T00:00:00Z", "2026-01-01 00:00:00.5+01:00", "0000-01-01T00:00:00Z", "0001-01-01T00:00:00Z", "9999-12-31T23:59:59.999999Z", "2026-02-30T00:00:00Z", "2026-01-01T24:00:00Z", "2026-01-01T00:00:60Z", "2026-01-01T00:00:00+23:00", "2026-01-01T00:00:00-18:30", "2026-01-01T00:00Z", "1500-02-28T12:00:00Z", "20260101", "é", "a b")]
+    for _ in range(1500):
+        at = rng.randrange(len(base))
+        values.append(base[:at] + rng.choice(bits) + base[at + rng.choice([0, 0, 1, 3]) :])
+    rows = spark.createDataFrame([(k, bytearray(v.encode("utf-8", "surrogatepass"))) for k, v in enumerate(values)], "k int, value binary")
+    both = decode(rows).withColumn("p", by_python(F.col("value"), F.lit(True))).collect()
+    for r in both:
+        assert r._d == r.p, values[r.k]
+    assert sum(r._d.malformed is None for r in both) > 200
+
+
+def test_ledger_is_unique_and_tells_the_same_each_time(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    bad, good = event(1, 1, event_type="?", merchant_id="m_b"), event(1, 1)
+    for k, values in enumerate([[bad, good, event(2, 2)], [bad, good], [bad], [event(2, 3, amount_minor=-1)], [event(2, 3, amount_minor=-1, merchant_id="")]]):
+        lake.write(k, process(raw(spark, values, 10 * k), W120, BASE + 5 + k, lake.watermark(), lake.read("ledger")))
+    rows = {r.event_id: r for r in lake.read("ledger").collect()}
+    assert lake.read("ledger").count() == len(rows) == 3
+    assert (rows["evt-1"].disposition, rows["evt-1"].merchant_id, rows["evt-3"].disposition, rows["evt-3"].merchant_id) == ("applied", "m_kioskone", "refused", "m_kioskone")
+
+
+def test_dead_letters_are_published_before_the_marker(spark, tmp_path):
+    lake, sent, fail = Lake(spark, str(tmp_path / "lake")), [], [True]
+
+    def publish(df):
+        if fail.pop() if fail else False:
+            raise OSError("no broker")
+        sent.extend(r.reason for r in df.collect())
+
+    run = batch_function(lake, W120, clock=lambda: BASE + 5, publish=publish)
+    with pytest.raises(OSError):
+        run(raw(spark, [b"x", event(1, 1)]), 0)
+    assert lake.aggregates(60) is None and not sent
+    run(raw(spark, [b"x", event(1, 1)]), 0)
+    run(raw(spark, [b"x", event(1, 1)]), 0)
+    assert sent == ["malformed"] and lake.aggregates(60).first().events_total == 1
+
+
+def test_markers_are_compacted_and_old_ids_forgotten(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake_module, "COMPACT_AT", 3)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for k in range(6):
+        lake.write(k, process(raw(spark, [event(60 * k, k)], k), W120, BASE + 3600 * k, lake.watermark(), lake.read("ledger")))
+    assert len(lake.markers()) <= 3 and lake.state()["batches"] == [[0, 5]] and lake.state()["counts"] == {"on_time": 6}
+    assert Lake(spark, lake.root).watermark() == lake.watermark() == BASE + 300 - 120
+    assert lake.purge(BASE + 5 * 3600, 2) == 3 and lake.read("ledger").count() == 3
+    again = process(raw(spark, [event(0, 0), event(300, 5)], 90), Settings(lateness_seconds=9000), BASE + 5 * 3600, None, lake.read("ledger"))
+    assert [r.outcome for r in again.rows.orderBy("offset").collect()] == ["on_time", "duplicate"]
+    assert lake.aggregates(60).agg(F.sum("events_total"), F.max("updated_at")).first()[:] == (6, BASE + 5 * 3600)
+
+
+def test_replays_are_marked(spark, tmp_path):
+    lake, sent = Lake(spark, str(tmp_path / "lake")), []
+    lake.write(0, process(raw(spark, [b"x", b"y", event(1, 1, event_type="?")]), W120, BASE))
+    assert views.replay(lake.dead_letters(), limit=2).count() == 2 and lake.dead_letters().where("replayed_at is not null").isEmpty()
+    for n, reason in ((1, "malformed"), (1, "malformed"), (0, "malformed"), (1, None)):
+        out = views.replay(lake.dead_letters(), lambda df: sent.append(replayed_messages(df).count()), reason, 1, lambda df: lake.mark_replayed(df, BASE + 9))
+        assert out.count() == n
+    assert lake.dead_letters().where(F.col("replayed_at") == F.timestamp_seconds(F.lit(BASE + 9))).count() == 3
+
+
+def test_a_quiet_stream_closes_its_windows(spark, tmp_path):
+    import time
+
+    now = int(time.time())
+    df = spark.createDataFrame([("orders.v1", 0, 0, None, bytearray(json.dumps(event(1, 1, occurred_at=iso(now - BASE - 70))).encode()))], "topic string, partition int, offset bigint, key binary, value binary").withColumn("timestamp", F.timestamp_seconds(F.lit(now)))
+    df.write.parquet(str(tmp_path / "in"))
+    lake, metrics = Lake(spark, str(tmp_path / "lake")), Metrics()
+    settings = Settings(window_seconds=60, lateness_seconds=0, idle_seconds=3, flush_seconds=1.0)
+    q = start(file_stream(spark, str(tmp_path / "in")), lake, settings, str(tmp_path / "cp"), metrics=metrics)
+    try:
+        until = time.time() + 90
+        while time.time() < until and not ((a := lake.aggregates(60)) is not None and a.where("is_closed").count()):
+            time.sleep(1)
+    finally:
+        q.stop()
+    assert lake.aggregates(60).first().is_closed and lake.state()["counts"] == {"on_time": 1}
+    assert 'tidemark_events_total{outcome="on_time"} 1' in metrics.text() and "tidemark_watermark_lag_seconds" in metrics.text()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    folders = {k: str(tmp_path / k) for k in ("in", "lake", "cp", "dlq", "again")}
+    assert cli.main(["scenario", "poison", "--count", "300", "--target", folders["in"]], spark) == 0
+    ticks = iter(range(100))
+    n = cli.produce(spark, lambda df: df.write.mode("append").parquet(folders["in"]), 20, 3, synthetic.Faults(), clock=lambda: BASE + next(ticks), sleep=lambda s: None)
+    assert n == 60 and spark.read.parquet(folders["in"]).count() == 360
+    cli.main(["run", "--source", folders["in"], "--lake", folders["lake"], "--checkpoint", folders["cp"], "--dlq", folders["dlq"], "--once"], spark)
+    lake = Lake(spark, folders["lake"])
+    counts = lake.state()["counts"]
+    assert sum(counts.values()) == 360 and spark.read.parquet(folders["dlq"]).count() == sum(n for k, n in counts.items() if k not in ("on_time", "late_accepted", "duplicate"))
+    cli.main(["health", "--lake", folders["lake"]], spark)
+    cli.main(["replay-dlq", "--lake", folders["lake"], "--reason", "malformed", "--limit", "5"], spark)
+    cli.main(["replay-dlq", "--lake", folders["lake"], "--limit", "5", "--target", folders["again"]], spark)
+    said = capsys.readouterr().out
+    assert "newest_window" in said and "5 dead letters listed" in said and "5 dead letters sent" in said
+    assert spark.read.parquet(folders["again"]).count() == 5 and lake.dead_letters().where("replayed_at is not null").count() == 5
+
+
 def test_native_mode_and_adapters(spark, tmp_path):
     ev = spark.createDataFrame([(f"e{k}", BASE + k, "m", "order_paid", 5) for k in range(50)], "event_id string, s bigint, merchant_id string, event_type string, amount_minor bigint").withColumn("occurred_at", F.timestamp_seconds("s"))
     ev.write.parquet(str(tmp_path / "ev"))
@@ -182,7 +290,8 @@ def test_native_mode_and_adapters(spark, tmp_path):
     q = native(stream, Settings()).writeStream.outputMode("update").format("memory").queryName("native_out").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.sql("select sum(events_total) from native_out").first()[0] == 50
-    assert kafka_options("h:1", "t", 5)["startingOffsets"] == "earliest" and "value binary" in RAW
+    options = kafka_options(Settings(topic="t"))
+    assert options["startingOffsets"] == "earliest" and options["subscribe"] == "t" and "value binary" in RAW
 
 
 def test_settings_warn_and_read_the_environment(monkeypatch):
@@ -192,5 +301,11 @@ def test_settings_warn_and_read_the_environment(monkeypatch):
     assert seen
     monkeypatch.setenv("TIDEMARK_WINDOW_SECONDS", "120")
     assert Settings.from_env().window_seconds == 120
+    monkeypatch.setenv("TIDEMARK_STRICT_CONTRACT", "true")
+    monkeypatch.setenv("TIDEMARK_FLUSH_SECONDS", "2.5")
+    monkeypatch.setenv("TIDEMARK_TOPIC", "t2")
+    assert (Settings.from_env().strict_contract, Settings.from_env().flush_seconds, Settings.from_env().topic) == (True, 2.5, "t2")
+    with pytest.raises(ValueError):
+        Settings(window_seconds=0)
     with pytest.raises(ValueError):
         synthetic.Faults(duplicate=0.9, late=0.2)

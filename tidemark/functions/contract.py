@@ -1,4 +1,4 @@
-"""The order event contract, version 1, compiled into column expressions over decoded fields."""
+"""The order event contract, version 1, compiled into column expressions over decoded records (column _d)."""
 
 from __future__ import annotations
 
@@ -7,20 +7,23 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.decode import FIELDS
 
+
+# Names of fields and types, and the texts of the messages, stand in outputs.
 @dataclass(frozen=True)
 class Contract:
     version: int = 1
     required: tuple[str, ...] = ("event_id", "event_type", "occurred_at", "order_id", "merchant_id")
     event_types: tuple[str, ...] = ("order_placed", "order_paid", "order_cancelled", "order_refunded")
-    known: tuple[str, ...] = ("event_id", "event_type", "occurred_at", "ingested_at", "order_id", "merchant_id", "user_id", "amount_minor", "currency", "payment_method", "schema_version")
+    known: tuple[str, ...] = FIELDS
     most_amount: int = 100_000_000
 
     def text(self, field: str) -> Column:
-        return F.try_element_at(F.col("fields"), F.lit(field))
+        return F.col("_d.text")[field]
 
     def kind(self, field: str) -> Column:
-        return F.try_element_at(F.col("kinds"), F.lit(field))
+        return F.col("_d.kind")[field]
 
     def violations(self, strict: bool = False) -> Column:
         """Messages in a fixed order; an empty array is a valid record."""
@@ -28,7 +31,7 @@ class Contract:
         whole = t("amount_minor").rlike(r"^-?\d+$")
         rules = [F.when(t(f).isNull() | ((k(f) == "str") & (t(f) == "")), F.lit(f"{f}: required field is missing or empty")) for f in self.required]
         rules.append(F.when(~((k("event_type") == "str") & t("event_type").isin(*self.event_types)), F.concat(F.lit("event_type: '"), t("event_type"), F.lit(f"' is not in contract v{self.version} ({', '.join(self.event_types)})"))))
-        rules.append(F.when(t("occurred_at").isNotNull() & F.col("occurred_us").isNull(), F.concat(F.lit("occurred_at: '"), t("occurred_at"), F.lit("' is not an ISO-8601 timestamp"))))
+        rules.append(F.when(t("occurred_at").isNotNull() & F.col("_d.occurred_us").isNull(), F.concat(F.lit("occurred_at: '"), t("occurred_at"), F.lit("' is not an ISO-8601 timestamp"))))
         long = t("amount_minor").try_cast("long")
         rules.append(
             F.when(t("amount_minor").isNotNull() & (k("amount_minor") != "int"), F.concat(F.lit("amount_minor: expected integer minor units, got "), k("amount_minor")))
@@ -53,11 +56,8 @@ class Contract:
         wrong.append(F.when(k("schema_version").isNotNull() & t("schema_version").try_cast("int").isNull(), F.lit("schema_version: expected an integer")))
         return F.nullif(F.substring(F.array_join(F.array_compact(F.array(*wrong)), "; "), 1, 1000), F.lit(""))
 
-    def unknown_fields(self) -> Column:
-        return F.array_sort(F.array_except(F.map_keys("fields"), F.array(*map(F.lit, self.known))))
-
     def event(self) -> list[Column]:
         """The typed columns of a valid record."""
         t = self.text
         strings = [t(f).alias(f) for f in ("event_id", "event_type", "order_id", "merchant_id", "user_id", "currency", "payment_method")]
-        return [*strings, F.timestamp_micros("occurred_us").alias("occurred_at"), t("amount_minor").try_cast("long").alias("amount_minor"), F.coalesce(t("schema_version").try_cast("int"), F.lit(1)).alias("schema_version")]
+        return [*strings, F.timestamp_micros("_d.occurred_us").alias("occurred_at"), t("amount_minor").try_cast("long").alias("amount_minor"), F.coalesce(t("schema_version").try_cast("int"), F.lit(1)).alias("schema_version")]

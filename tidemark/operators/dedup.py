@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,16 +15,13 @@ def first_arrival(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def mark_duplicates(df: DataFrame, key: str, order: list[str], ledger: DataFrame | None = None) -> DataFrame:
-    """df with duplicate: null for a first arrival, else in_batch or ledger. A null key is never a duplicate."""
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    out = df.withColumn("_nth", F.when(F.col(key).isNotNull(), nth).otherwise(1))
+    """df with duplicate: null for a first arrival, else in_batch or ledger. A null key is never a duplicate; rows that have none
+    are dealt out by their place in the order, so that they don't meet in one task."""
+    k = F.col(key)
+    nth = F.row_number().over(Window.partitionBy(key, F.when(k.isNull(), F.xxhash64(*order))).orderBy(*order))
+    out = df.withColumn("_nth", F.when(k.isNotNull(), nth).otherwise(1))
     if ledger is None:
         out = out.withColumn("_known", F.lit(None).cast("boolean"))
     else:
         out = out.join(ledger.select(F.col("event_id").alias(key)).distinct().withColumn("_known", F.lit(True)), key, "left")
     return out.withColumn("duplicate", F.when(F.col("_nth") > 1, "in_batch").when(F.col("_known"), "ledger")).drop("_nth", "_known")
-
-
-def retained(ledger: DataFrame, now: Column, hours: int) -> DataFrame:
-    """Ledger rows that are not older than the retention."""
-    return ledger.where(F.col("seen_at") >= now - F.make_dt_interval(F.lit(0), F.lit(hours)))

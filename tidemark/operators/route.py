@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Settings
 from tidemark.functions.contract import Contract
-from tidemark.functions.decode import decode, decode_key, preview
+from tidemark.functions.decode import decode, decode_key, once, preview
 from tidemark.operators import aggregate
 from tidemark.operators.dedup import mark_duplicates
-from tidemark.operators.windowing import bucket, classify, watermark_after
+from tidemark.operators.windowing import bucket, classify, slices, watermark_after
 
 ORDER = ["timestamp", "partition", "offset"]
 PLACE = ["topic", "partition", "offset"]
@@ -26,6 +27,7 @@ class Routed:
     settings: Settings
     now: int
     prior: int | None
+    known: DataFrame | None = None  # the ledger before this batch
 
     def counts(self) -> dict[str, int]:
         return dict(self.rows.groupBy("outcome").count().collect())
@@ -34,17 +36,21 @@ class Routed:
         return watermark_after(self.rows, self.settings.lateness_seconds, self.prior)
 
     def deltas(self) -> DataFrame:
-        return aggregate.deltas(self.rows)
+        return aggregate.deltas(self.rows, updated=F.lit(self.now))
 
     def users(self) -> DataFrame:
         return aggregate.membership(self.rows)
 
     def ledger(self) -> DataFrame:
-        """Every id that was handled, applied or refused; refused ones with the batch's clock as window."""
+        """A row for every id that was handled for the first time, applied or refused; refused ones with the batch's clock as window.
+        An id that is both in one batch counts as applied; of several refused records the first arrival tells the merchant."""
         new = F.col("outcome").isin("on_time", "late_accepted", "too_late", "future_skew")
         refused = F.col("outcome").isin("contract_violation", "validation_error") & (F.col("id_kind") == "str") & (F.col("event_id") != "")
-        out = self.rows.where(new | refused).select("event_id", F.coalesce(F.nullif("merchant_id", F.lit("")), F.lit("unknown")).alias("merchant_id"), F.when(new, F.col("window_start")).otherwise(F.lit(self.now)).alias("window_start"), F.timestamp_seconds(F.lit(self.now)).alias("seen_at"), F.when(new, "applied").otherwise("refused").alias("disposition"))
-        return out.dropDuplicates(["event_id"])
+        rows = self.rows.where(new | refused).select("event_id", F.struct(F.when(new, 0).otherwise(1).alias("rank"), *ORDER, F.coalesce(F.nullif("merchant_id", F.lit("")), F.lit("unknown")).alias("merchant_id"), F.when(new, F.col("window_start")).otherwise(F.lit(self.now)).alias("window_start")).alias("row"))
+        out = rows.groupBy("event_id").agg(F.min("row").alias("row"))
+        if self.known is not None:
+            out = out.join(self.known.select("event_id"), "event_id", "left_anti")
+        return out.select("event_id", "row.merchant_id", "row.window_start", F.timestamp_seconds(F.lit(self.now)).alias("seen_at"), F.when(F.col("row.rank") == 0, "applied").otherwise("refused").alias("disposition"))
 
     def late(self) -> DataFrame:
         mark = F.coalesce("watermark_before", F.lit(self.now))
@@ -67,16 +73,19 @@ class Routed:
         return self.rows.groupBy("topic", "partition").agg(F.max("offset").alias("last_offset")).withColumns({"consumer_group": F.lit(group), "watermark_at": F.lit(self.watermark()).cast("long")})
 
 
-def process(raw: DataFrame, settings: Settings, now: int, prior: int | None = None, ledger: DataFrame | None = None, contract: Contract | None = None) -> Routed:
+def process(raw: DataFrame, settings: Settings, now: int, prior: int | None = None, ledger: DataFrame | None = None, contract: Contract | None = None, hold: Callable[[DataFrame], DataFrame] | None = None) -> Routed:
     """Decodes, checks, de-duplicates and classifies raw records (the Kafka source's columns). now: one clock for the batch, in
-    seconds. The order of arrival is by timestamp, partition and offset."""
+    seconds. The order of arrival is by timestamp, partition and offset. Every record keeps its row from end to end: what is
+    refused or a duplicate moves no watermark. hold, where given, keeps the decoded records (persist, say)."""
     contract = contract or Contract()
-    d = raw.withColumn("_d", decode("value")).select(*raw.columns, "_d.malformed", "_d.fields", "_d.kinds", "_d.occurred_us")
-    d = d.withColumns({"_bad": F.array_join(contract.violations(settings.strict_contract), "; "), "_type": contract.type_errors(), "unknown_fields": contract.unknown_fields(), "id_kind": contract.kind("event_id")})
-    refused = F.when(F.col("malformed").isNotNull(), "malformed").when(F.col("_bad") != "", "contract_violation").when(F.col("_type").isNotNull(), "validation_error")
-    d = d.select(*raw.columns, *contract.event(), "unknown_fields", "id_kind", refused.alias("refused"), F.coalesce("malformed", F.nullif("_bad", F.lit("")), "_type").alias("problem"), F.floor(F.col("occurred_us") / 1e6).cast("long").alias("occurred_s"))
-    good = mark_duplicates(d.where("refused is null"), "event_id", ORDER, ledger)
-    new = classify(good.where("duplicate is null"), ORDER, settings.window_seconds, settings.lateness_seconds, settings.skew_seconds, F.lit(now), prior=F.lit(prior).cast("long"), slice_col=F.date_trunc("hour", F.coalesce("timestamp", F.timestamp_seconds(F.lit(0)))))
-    rest = d.where("refused is not null").withColumn("duplicate", F.lit(None).cast("string")).unionByName(good.where("duplicate is not null"))
-    rest = rest.withColumns({"watermark_before": F.lit(None).cast("long"), "window_start": bucket(F.col("occurred_s"), settings.window_seconds), "outcome": F.coalesce("refused", F.lit("duplicate"))})
-    return Routed(new.unionByName(rest), settings, now, prior)
+    parts = slices(raw, F.unix_micros("timestamp"), settings.slices or int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    d = once(decode(raw), "_r", F.nullif(F.array_join(contract.violations(settings.strict_contract), "; "), F.lit("")).alias("bad"), contract.type_errors().alias("type"))
+    refused = F.when(F.col("_d.malformed").isNotNull(), "malformed").when(F.col("_r.bad").isNotNull(), "contract_violation").when(F.col("_r.type").isNotNull(), "validation_error")
+    columns = [*contract.event(), F.col("_d.unknown_fields").alias("unknown_fields"), contract.kind("event_id").alias("id_kind"), refused.alias("refused"), F.coalesce("_d.malformed", "_r.bad", "_r.type").alias("problem"), F.floor(F.col("_d.occurred_us") / 1e6).cast("long").alias("occurred_s")]
+    d = once(d, "_o", *columns).select(*raw.columns, "_o.*")
+    d = hold(d) if hold else d
+    d = mark_duplicates(d.withColumn("_key", F.when(F.col("refused").isNull(), F.col("event_id"))), "_key", ORDER, ledger).drop("_key")
+    fresh = F.col("refused").isNull() & F.col("duplicate").isNull()
+    out = classify(d, ORDER, settings.window_seconds, settings.lateness_seconds, settings.skew_seconds, F.lit(now), prior=F.lit(prior).cast("long"), slice_col=parts, only=fresh)
+    out = out.withColumn("outcome", F.coalesce("refused", F.when(F.col("duplicate").isNotNull(), "duplicate"), "outcome"))
+    return Routed(out, settings, now, prior, ledger)

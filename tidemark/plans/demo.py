@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import aggregate
 from tidemark.operators.dedup import first_arrival, mark_duplicates
-from tidemark.operators.windowing import classify
+from tidemark.operators.windowing import OUTCOMES as OUTCOMES
+from tidemark.operators.windowing import classify, slices
 from tidemark.plans import views
 
 WINDOW, LATENESS, SKEW = 3600, 18_000, 60
 TYPES = {"view": "order_placed", "purchase": "order_paid", "error": "order_cancelled", "click": "order_refunded"}
 ORDER = ["arr", "copy", "event_id"]
-AGG = ("window_start", "merchant_id", *aggregate.ADDITIVE, "distinct_users", "net_amount_minor", "revision", "first_event_at", "last_event_at", "is_closed")
+#: When the last day of dead letters ends.
+DAY_END = 1_706_500_000
+AGG = ("window_start", "merchant_id", *aggregate.ADDITIVE, "distinct_users", "net_amount_minor", "revision", "first_event_at", "last_event_at", "is_closed", "updated_at")
 
 ARRIVALS_SQL = """
 WITH base AS (SELECT event_id, user_id, user_id % 6 AS merchant_id, event_type AS raw_type,
@@ -36,7 +39,7 @@ agg AS (SELECT window_start, merchant_id, count(*) AS events_total, count(*) FIL
     CAST(coalesce(sum(amount_minor) FILTER (event_type = 'order_paid'), 0) AS BIGINT) AS gross_amount_minor, CAST(coalesce(sum(amount_minor) FILTER (event_type = 'order_refunded'), 0) AS BIGINT) AS refunded_amount_minor,
     count(*) FILTER (outcome = 'late_accepted') AS late_events_applied, count(DISTINCT user_id) AS distinct_users,
     CAST(coalesce(sum(amount_minor) FILTER (event_type = 'order_paid'), 0) - coalesce(sum(amount_minor) FILTER (event_type = 'order_refunded'), 0) AS BIGINT) AS net_amount_minor,
-    CAST(1 + count(*) FILTER (outcome = 'late_accepted') AS INTEGER) AS revision, min(occurred_s) AS first_event_at, max(occurred_s) AS last_event_at, window_start + 3600 <= (SELECT wm FROM mark) AS is_closed
+    CAST(1 + count(*) FILTER (outcome = 'late_accepted') AS INTEGER) AS revision, min(occurred_s) AS first_event_at, max(occurred_s) AS last_event_at, max(arr) AS updated_at, window_start + 3600 <= (SELECT wm FROM mark) AS is_closed
     FROM applied GROUP BY window_start, merchant_id),
 late AS (SELECT event_id, merchant_id, event_type, occurred_s, window_start, watermark_before, CAST(watermark_before - occurred_s AS DOUBLE) AS lateness_seconds, amount_minor, arr AS recorded_s FROM classed WHERE outcome = 'too_late'),
 dead AS (SELECT outcome AS reason, arr AS failed_s FROM classed WHERE outcome IN ('too_late', 'future_skew') UNION ALL SELECT 'contract_violation', arr FROM arrivals WHERE event_type NOT LIKE 'order_%')
@@ -59,14 +62,16 @@ def valid(spark, d):
 
 def classed(spark, d) -> DataFrame:
     fresh = first_arrival(valid(spark, d), "event_id", ["arr", "copy"])
-    return classify(fresh, ORDER, WINDOW, LATENESS, SKEW, F.col("arr"), slice_col=F.floor(F.col("arr") / 86_400))
+    parts = slices(arrivals(spark, d), F.col("arr"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return classify(fresh, ORDER, WINDOW, LATENESS, SKEW, F.col("arr"), slice_col=parts)
 
 
 def _agg(spark, d, parts=None) -> DataFrame:
-    c = classed(spark, d)
-    top = aggregate.applied(c).agg((F.max("occurred_s") - LATENESS).alias("wm"))
-    out = aggregate.fold(aggregate.deltas(c) if parts is None else parts(c), aggregate.membership(c.withColumn("user_id", F.col("user_id").cast("string"))), WINDOW, None)
-    return out.crossJoin(top).withColumn("is_closed", F.col("window_start") + WINDOW <= F.col("wm")).select(*AGG)  # top: one row
+    """In one pass over the events, or folded from parts."""
+    c = classed(spark, d).withColumn("user_id", F.col("user_id").cast("string"))
+    out = aggregate.whole(c, WINDOW, None, updated=F.col("arr")) if parts is None else aggregate.fold(parts(c), aggregate.membership(c), WINDOW, None)
+    top = out.agg((F.max("last_event_at") - LATENESS).alias("wm"))
+    return out.crossJoin(F.broadcast(top)).withColumn("is_closed", F.col("window_start") + WINDOW <= F.col("wm")).select(*AGG)  # top: one row
 
 
 def _late(spark, d) -> DataFrame:
@@ -91,12 +96,12 @@ def _ledger(spark, d) -> DataFrame:
 
 def _health(spark, d) -> DataFrame:
     now = 1_706_745_600  # 2024-02-01
-    return views.health(_agg(spark, d).withColumn("updated_s", F.col("last_event_at")), _late(spark, d), _dead(spark, d), now)
+    return views.health(_agg(spark, d), _late(spark, d), _dead(spark, d), now)
 
 
 def _two_batches(c: DataFrame) -> DataFrame:
     """Deltas of two batches, to be folded."""
-    return aggregate.deltas(c.where("event_id % 2 = 0")).union(aggregate.deltas(c.where("event_id % 2 = 1")))
+    return aggregate.deltas(c.where("event_id % 2 = 0"), updated=F.col("arr")).union(aggregate.deltas(c.where("event_id % 2 = 1"), updated=F.col("arr")))
 
 
 def _props(spark, d) -> DataFrame:
@@ -133,14 +138,16 @@ QUERIES = {
     "future_skew": (lambda s, d: classed(s, d).where("outcome = 'future_skew'").select("event_id", "occurred_s", "arr"), f"{_FROM} SELECT event_id, occurred_s, arr FROM classed WHERE outcome = 'future_skew'"),
     "contract_violations": (lambda s, d: arrivals(s, d).where(~F.col("event_type").startswith("order_")).groupBy("event_type", "merchant_id").agg(F.count(F.lit(1)).alias("n")), f"{_FROM} SELECT event_type, merchant_id, count(*) AS n FROM arrivals WHERE event_type NOT LIKE 'order_%' GROUP BY ALL"),
     "dlq_by_reason": (lambda s, d: views.dead_by_reason(_dead(s, d)), f"{_FROM} SELECT reason, count(*) AS n, max(failed_s) AS last_failed FROM dead GROUP BY reason"),
+    "dlq_last_day": (lambda s, d: views.dead_by_reason(_dead(s, d), DAY_END - views.DAY), f"{_FROM} SELECT reason, count(*) AS n, max(failed_s) AS last_failed FROM dead WHERE failed_s > {DAY_END} - 86400 GROUP BY reason"),
+    "newest_late_events": (lambda s, d: views.newest_late(_late(s, d)), f"{_FROM} SELECT event_id, merchant_id, window_start, round_even(lateness_seconds, 0) AS late_s, recorded_s FROM late ORDER BY recorded_s DESC, event_id DESC LIMIT 20"),
     "ledger": (_ledger, f"{_FROM} SELECT event_id, merchant_id, CASE WHEN event_type LIKE 'order_%' THEN 'applied' ELSE 'refused' END AS disposition FROM arrivals QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY arr, copy) = 1"),
     "ledger_uniqueness": (lambda s, d: _ledger(s, d).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_ids")), f"{_FROM} SELECT count(DISTINCT event_id) AS n, count(DISTINCT event_id) AS n_ids FROM arrivals"),
     "window_membership": (_users, f"{_FROM} SELECT DISTINCT window_start, merchant_id, CAST(user_id AS VARCHAR) AS user_id FROM applied"),
     "distinct_users": (lambda s, d: _users(s, d).groupBy("window_start", "merchant_id").agg(F.count(F.lit(1)).alias("n")), f"{_FROM} SELECT window_start, merchant_id, count(DISTINCT user_id) AS n FROM applied GROUP BY ALL"),
     "hourly_rollup": (lambda s, d: views.hourly(_agg(s, d)), f"{_FROM} SELECT window_start - window_start % 3600 AS hour_start, merchant_id, CAST(sum(orders_paid) AS BIGINT) AS orders_paid, CAST(sum(gross_amount_minor) AS BIGINT) AS gross_amount_minor, CAST(sum(refunded_amount_minor) AS BIGINT) AS refunded_amount_minor, CAST(sum(net_amount_minor) AS BIGINT) AS net_amount_minor, CAST(sum(late_events_applied) AS BIGINT) AS late_events_applied, count(*) FILTER (NOT is_closed) AS open_windows FROM agg GROUP BY ALL"),
-    "pipeline_health": (_health, f"{_FROM} SELECT max(window_start) AS newest_window, max(last_event_at) AS last_write, 1706745600 - max(last_event_at) AS seconds_since_write, count(*) FILTER (NOT is_closed) AS open_windows, CAST(sum(late_events_applied) AS BIGINT) AS late_events_applied, (SELECT count(*) FROM late WHERE recorded_s > 1706745600 - 3600) AS too_late_last_hour, (SELECT count(*) FROM dead WHERE failed_s > 1706745600 - 3600) AS dlq_last_hour FROM agg"),
+    "pipeline_health": (_health, f"{_FROM} SELECT max(window_start) AS newest_window, max(updated_at) AS last_write, 1706745600 - max(updated_at) AS seconds_since_write, count(*) FILTER (NOT is_closed) AS open_windows, CAST(sum(late_events_applied) AS BIGINT) AS late_events_applied, (SELECT count(*) FROM late WHERE recorded_s > 1706745600 - 3600) AS too_late_last_hour, (SELECT count(*) FROM dead WHERE failed_s > 1706745600 - 3600) AS dlq_last_hour FROM agg"),
     "open_windows": (lambda s, d: _agg(s, d).where("NOT is_closed").select("window_start", "merchant_id"), f"{_FROM} SELECT window_start, merchant_id FROM agg WHERE NOT is_closed"),
-    "restated_windows": (lambda s, d: views.restated(_agg(s, d)), f"{_FROM} SELECT * FROM agg WHERE revision > 1 ORDER BY window_start DESC, merchant_id LIMIT 50"),
+    "restated_windows": (lambda s, d: views.restated(_agg(s, d)), f"{_FROM} SELECT * FROM agg WHERE revision > 1 ORDER BY updated_at DESC, window_start DESC, merchant_id LIMIT 50"),
     "newest_windows_topk": (lambda s, d: views.newest(_agg(s, d)), f"{_FROM} SELECT * FROM agg ORDER BY window_start DESC, merchant_id LIMIT 20"),
     "watermark_progress": (_progress, f"{_FROM} SELECT arr // 86400 AS day, min(watermark_before) AS low, max(watermark_before) AS high FROM classed GROUP BY day"),
     "replay_is_noop": (_replay, f"{_FROM} SELECT CASE WHEN r > 1 THEN 'in_batch' ELSE 'ledger' END AS duplicate, count(*) AS n FROM (SELECT row_number() OVER (PARTITION BY event_id ORDER BY arr, copy) AS r FROM valid) GROUP BY duplicate"),
