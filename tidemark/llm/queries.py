@@ -97,6 +97,23 @@ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 SELECT *, NOT base_failed AND {OP1_RULES} AS kept FROM b
 """
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TOKENS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP9_SQL = rf"""
+WITH d AS (SELECT doc_id, {TOKENS} AS w FROM documents),
+b AS (SELECT item_id, {TOKENS} AS w FROM benchmark),
+dt AS (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS p FROM d),
+bt AS (SELECT item_id, len(w) AS n, unnest(w) AS t, unnest(range(len(w))) AS q FROM b),
+hit AS (SELECT doc_id, item_id, p - q AS shift, q, n FROM dt JOIN bt USING (t)),
+near AS (SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY q RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING) AS c FROM hit),
+diagonal AS (SELECT DISTINCT doc_id, item_id, shift, n FROM near WHERE c >= CASE WHEN n < 8 THEN n ELSE 0.75 * least(20, n) END),
+overlap AS (SELECT doc_id, item_id, shift, greatest(0, -shift) AS lo, least(n, len(w) - shift) AS hi FROM diagonal JOIN d USING (doc_id)),
+win AS (SELECT doc_id, item_id, shift, least(20, hi - lo) AS size, unnest(range(lo, hi - least(20, hi - lo) + 1)) AS s FROM overlap),
+counted AS (SELECT doc_id, item_id, shift, size, s, count(*) AS c FROM win JOIN hit USING (doc_id, item_id, shift) WHERE q BETWEEN s AND s + size - 1 GROUP BY ALL)
+SELECT doc_id, item_id, s + shift AS doc_start, s AS item_start, size AS n_tokens, c AS n_equal FROM counted QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY c DESC, shift, s) = 1
+"""
+
 OP10_SQL = rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS w FROM documents),
 g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM w),
@@ -108,5 +125,16 @@ SELECT d.doc_id, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS class_id,
 FROM documents d LEFT JOIN n USING (doc_id)
 """
 
+OP7_SQL = rf"""
+WITH w AS (SELECT doc_id, {WORDS} AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, unnest(list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(w[i:i+49], ' ')))) AS g FROM w WHERE len(w) >= 50),
+first AS (SELECT g, min(doc_id) AS least FROM win GROUP BY g),
+later AS (SELECT doc_id, i FROM win JOIN first USING (g) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, range(50) r(k)),
+pos AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM pos ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, (SELECT count(*) FROM gone WHERE gone.doc_id = w.doc_id) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_best_fit_packing, op4_quality_classifier, op5_toxicity, op6_secret_scan, op7_substring_dedup, op8_license_scan, op9_decontamination, op10_ngram_jaccard)}
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op10_ngram_jaccard": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op7_substring_dedup": OP7_SQL, "op9_decontamination": OP9_SQL, "op10_ngram_jaccard": OP10_SQL}
