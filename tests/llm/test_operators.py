@@ -565,15 +565,27 @@ def test_several_licenses_in_a_file(spark):
             gone = rng.sample(free, rng.randint(0, len(free)))
             parts += rng.choices(vocabulary, k=rng.randint(0, 9)) + ["zz" if x in gone else w for x, w in enumerate(t)]
         docs.append((i, " ".join(parts)))
+    notice = next(t for label, t, _ in notices if label == "isc")
+    for i in range(200, 220):  # words put in and left out
+        w = list(notice)
+        for _ in range(2):
+            w.insert(rng.randrange(6, len(w)), "very")
+        docs.append((i, " ".join(["x"] * i + w)))
+    docs.append((98, " ".join(" ".join(t) for _, t, _ in notices)))  # all at once
+    docs.append((97, "the of and or license " * 20_000))  # a long text of common words
     docs.append((99, "MIT License text: permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files. All rights reserved."))
     got = {r.doc_id: set(r.labels.split(",")) - {""} for r in licenses.find_licenses(table(spark, docs)).collect()}
+    assert got[98] >= {label for label, _, _ in notices} and not got[97] and all("isc" in got[i] for i in range(200, 220))
     for i, text in docs:
+        if i == 97:
+            continue
         d = re.findall("[a-z0-9]+", text.lower())
         want = {label for phrase, label in licenses.BASE if f" {phrase} " in f" {' '.join(d)} "}
         for label, t, key in notices:
-            for shift in range(1 - len(t), len(d)):
-                lo, hi = max(shift, 0), min(shift + len(t), len(d))
-                near = " ".join(d[max(0, lo - len(key)) : hi + len(key)])
-                if 100 * sum(d[x] == t[x - shift] for x in range(lo, hi)) >= 45 * len(t) and f" {' '.join(key)} " in f" {near} ":
-                    want.add(label)
+            for shift in range(-len(t) - licenses.DRIFT, len(d)):
+                near = " ".join(d[max(0, shift - len(key)) : max(0, shift + licenses.DRIFT + len(t) + len(key))])
+                if f" {' '.join(key)} " in f" {near} ":
+                    n = sum(any(0 <= shift + x + y < len(d) and d[shift + x + y] == w for y in range(licenses.DRIFT + 1)) for x, w in enumerate(t))
+                    if 100 * n >= 45 * len(t):
+                        want.add(label)
         assert got[i] == want, i

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import licenses
 from tidemark.llm.leaks import decontaminate
 from tidemark.llm.licenses import find_licenses
 from tidemark.llm.line_dedup import dedup_lines
@@ -100,6 +101,24 @@ SELECT *, NOT base_failed AND {OP1_RULES} AS kept FROM b
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 TOKENS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+OP8_SQL = rf"""
+WITH d AS (SELECT doc_id, {TOKENS} AS w FROM documents),
+tok AS (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS p FROM d),
+phrase(phrase, label) AS (VALUES {", ".join(f"('{p}', '{label}')" for p, label in licenses.BASE)}),
+base AS (SELECT doc_id, label, p FROM tok JOIN phrase ON t = string_split(phrase, ' ')[1] JOIN d USING (doc_id) WHERE w[p + 1:p + len(string_split(phrase, ' '))] = string_split(phrase, ' ')),
+tm(k, label, words, key) AS (VALUES {", ".join(f"({k}, '{label}', string_split('{t}', ' '), string_split('{key}', ' '))" for k, (label, t, key) in enumerate(licenses.TEMPLATES))}),
+keyed AS (SELECT doc_id, k, p FROM tok JOIN tm ON t = key[1] JOIN d USING (doc_id) WHERE w[p + 1:p + len(key)] = key),
+tw AS (SELECT k, unnest(words) AS t, unnest(range(len(words))) AS q FROM tm),
+hit AS (SELECT DISTINCT doc_id, k, p - q AS s, q FROM tok JOIN tw USING (t) SEMI JOIN keyed USING (doc_id, k)),
+shift AS (SELECT DISTINCT doc_id, k, s + x AS s FROM hit, range(-{licenses.DRIFT}, 1) r(x)),
+shared AS (SELECT shift.doc_id, shift.k, shift.s, count(DISTINCT q) AS n FROM shift JOIN hit ON hit.doc_id = shift.doc_id AND hit.k = shift.k AND hit.s BETWEEN shift.s AND shift.s + {licenses.DRIFT} GROUP BY ALL),
+notice AS (SELECT doc_id, label, n / len(words) AS share FROM shared JOIN tm USING (k) WHERE n >= {licenses.LEAST_SHARE} * len(words)
+    AND EXISTS (SELECT 1 FROM keyed WHERE keyed.doc_id = shared.doc_id AND keyed.k = shared.k AND p >= s - len(key) AND p + len(key) <= s + {licenses.DRIFT} + len(words) + len(key))),
+b AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS share FROM (SELECT doc_id, label, 0.5::DOUBLE AS share FROM base UNION ALL SELECT doc_id, label, share::DOUBLE FROM notice) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(share, 0)::DOUBLE AS score FROM d LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
 OP9_SQL = rf"""
 WITH d AS (SELECT doc_id, {TOKENS} AS w FROM documents),
 b AS (SELECT item_id, {TOKENS} AS w FROM benchmark),
@@ -137,4 +156,4 @@ SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, (SELECT count(*) FROM gone W
 """
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_best_fit_packing, op4_quality_classifier, op5_toxicity, op6_secret_scan, op7_substring_dedup, op8_license_scan, op9_decontamination, op10_ngram_jaccard)}
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op7_substring_dedup": OP7_SQL, "op9_decontamination": OP9_SQL, "op10_ngram_jaccard": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op7_substring_dedup": OP7_SQL, "op8_license_scan": OP8_SQL, "op9_decontamination": OP9_SQL, "op10_ngram_jaccard": OP10_SQL}
