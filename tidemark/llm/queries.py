@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses
+from tidemark.llm import licenses, secrets
 from tidemark.llm.leaks import decontaminate
 from tidemark.llm.licenses import find_licenses
 from tidemark.llm.line_dedup import dedup_lines
@@ -101,6 +101,28 @@ SELECT *, NOT base_failed AND {OP1_RULES} AS kept FROM b
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 TOKENS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+PATTERNS = (("assign", ASSIGN), ("access", "AKIA[A-Z0-9]+"), ("hex", "[0-9a-f]{16,}"), ("entropy", "[A-Za-z0-9+/_=-]{20,}"))
+
+OP6_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+parts AS ({" UNION ALL ".join(f"SELECT doc_id, {k} AS kind, regexp_extract_all(text, '{p}') AS m, string_split_regex(text, '{p}') AS s FROM d" for k, (_, p) in enumerate(PATTERNS))}),
+found AS (SELECT doc_id, kind, m, s, unnest(m) AS x, unnest(range(len(m))) AS i FROM parts),
+placed AS (SELECT doc_id, kind, x, CAST(list_sum(list_transform(s[1:i + 1], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i], lambda y: length(y))), 0) AS BIGINT) AS a FROM found),
+base AS (SELECT doc_id, kind, a, a + length(x) AS b FROM placed WHERE kind = 2 OR kind = 1 AND length(x) >= 18 OR kind = 0 AND length(regexp_extract(x, '{ASSIGN}', 2)) >= 12),
+candidate AS (SELECT doc_id, x, a, CASE WHEN regexp_full_match(x, '[0-9a-fA-F]+') THEN 2.9 WHEN regexp_full_match(x, '[A-Za-z0-9]+') THEN 3.6 ELSE 3.7 END AS bound FROM placed
+    WHERE kind = 3 AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Za-z]') AND NOT regexp_matches(x, '(?i){secrets.ALLOWED.pattern}')),
+win AS (SELECT doc_id, a, bound, x, unnest(range(length(x) - 19)) AS w FROM candidate),
+letters AS (SELECT doc_id, a, bound, w, unnest(string_split(x[w + 1:w + 20], '')) AS c FROM win),
+counted AS (SELECT doc_id, a, bound, w, c, count(*) AS n FROM letters GROUP BY ALL),
+bits AS (SELECT doc_id, a, w FROM counted GROUP BY doc_id, a, bound, w HAVING log2(20) - sum(n * log2(n)) / 20 > bound),
+even AS (SELECT doc_id, 3 AS kind, a + min(w) AS a, a + max(w) + 20 AS b FROM bits GROUP BY doc_id, bits.a),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM even WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = even.doc_id AND base.a < even.b AND even.a < base.b)),
+named AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || a || ':' || b AS t FROM spans),
+all_ AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex, string_agg(t, ',' ORDER BY a, kind, b) FILTER (kind < 3) AS base, string_agg(t, ',' ORDER BY a, kind, b) AS spans FROM named GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN all_ USING (doc_id)
+"""
+
 OP8_SQL = rf"""
 WITH d AS (SELECT doc_id, {TOKENS} AS w FROM documents),
 tok AS (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS p FROM d),
@@ -156,4 +178,4 @@ SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, (SELECT count(*) FROM gone W
 """
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_best_fit_packing, op4_quality_classifier, op5_toxicity, op6_secret_scan, op7_substring_dedup, op8_license_scan, op9_decontamination, op10_ngram_jaccard)}
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op7_substring_dedup": OP7_SQL, "op8_license_scan": OP8_SQL, "op9_decontamination": OP9_SQL, "op10_ngram_jaccard": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op6_secret_scan": OP6_SQL, "op7_substring_dedup": OP7_SQL, "op8_license_scan": OP8_SQL, "op9_decontamination": OP9_SQL, "op10_ngram_jaccard": OP10_SQL}
