@@ -68,6 +68,8 @@ ledger AS (SELECT event_id, arg_min(row, struct_pack(rank, arr, partition, "offs
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if e.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:  # one small file: else one task would decode all
+        e = e.repartition(spark.sparkContext.defaultParallelism)
     f, text = F.col("event_id") % 40, lambda x: F.col(x).cast("string")
     kind = F.when(f == 5, "order_disputed").otherwise(F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for p in demo.TYPES.items() for x in p)), "event_type"), F.col("event_type")))
     occurred = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("long")
