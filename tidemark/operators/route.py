@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tidemark.functions.contract import Contract
 from tidemark.functions.decode import decode, decode_key, once, preview
 from tidemark.operators import aggregate
 from tidemark.operators.dedup import mark_duplicates
-from tidemark.operators.windowing import bucket, classify, slices, watermark_after
+from tidemark.operators.windowing import bucket, classify, slices
 
 ORDER = ["timestamp", "partition", "offset"]
 PLACE = ["topic", "partition", "offset"]
@@ -29,11 +30,22 @@ class Routed:
     prior: int | None
     known: DataFrame | None = None  # the ledger before this batch
 
+    @cached_property
+    def summary(self) -> list:
+        """One row for each topic, partition and outcome: its count, highest offset and latest applied event time, in one job."""
+        applied = F.when(F.col("outcome").isin("on_time", "late_accepted"), F.col("occurred_s"))
+        return self.rows.groupBy("topic", "partition", "outcome").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last_offset"), F.max(applied).alias("top")).collect()
+
     def counts(self) -> dict[str, int]:
-        return dict(self.rows.groupBy("outcome").count().collect())
+        out: dict[str, int] = {}
+        for r in self.summary:
+            out[r.outcome] = out.get(r.outcome, 0) + r.n
+        return out
 
     def watermark(self) -> int | None:
-        return watermark_after(self.rows, self.settings.lateness_seconds, self.prior)
+        """The watermark after the batch; never below the prior one."""
+        tops = [r.top - self.settings.lateness_seconds for r in self.summary if r.top is not None]
+        return max((x for x in (self.prior, *tops) if x is not None), default=None)
 
     def deltas(self) -> DataFrame:
         return aggregate.deltas(self.rows, updated=F.lit(self.now))
@@ -70,7 +82,11 @@ class Routed:
         return bad.select(F.col("outcome").alias("reason"), detail.alias("detail"), *PLACE, decode_key().alias("key"), preview("value").alias("payload"), F.timestamp_seconds(F.lit(self.now)).alias("failed_at"), F.lit(None).cast("timestamp").alias("replayed_at")).dropDuplicates(PLACE)
 
     def checkpoints(self, group: str) -> DataFrame:
-        return self.rows.groupBy("topic", "partition").agg(F.max("offset").alias("last_offset")).withColumns({"consumer_group": F.lit(group), "watermark_at": F.lit(self.watermark()).cast("long")})
+        last: dict[tuple, int] = {}
+        for r in self.summary:
+            last[r.topic, r.partition] = max(r.last_offset, last.get((r.topic, r.partition), r.last_offset))
+        rows = [(*k, n, group, self.watermark()) for k, n in sorted(last.items())]
+        return self.rows.sparkSession.createDataFrame(rows, "topic string, partition int, last_offset long, consumer_group string, watermark_at long")
 
 
 def process(raw: DataFrame, settings: Settings, now: int, prior: int | None = None, ledger: DataFrame | None = None, contract: Contract | None = None, hold: Callable[[DataFrame], DataFrame] | None = None) -> Routed:

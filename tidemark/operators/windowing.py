@@ -63,12 +63,6 @@ def classify(df: DataFrame, order: list[str], window: int, lateness: int, skew:
     return df.withColumns({"window_start": start, "outcome": outcome}).drop("_far", "_seen")
 
 
-def watermark_after(classified: DataFrame, lateness: int, prior: int | None, occurred: str = "occurred_s") -> int | None:
-    """The watermark after a batch; never below the prior one."""
-    top = classified.where(F.col("outcome").isin("on_time", "late_accepted")).agg(F.max(occurred)).first()[0]
-    return max((x for x in (prior, None if top is None else top - lateness) if x is not None), default=None)
-
-
 def idle_watermark(prior: int | None, now: int, last_record: int, idle: int, lateness: int) -> int | None:
     """The watermark of a quiet input: after `idle` seconds without records, now less the lateness, if that is later."""
     if now - last_record < idle:

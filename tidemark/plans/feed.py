@@ -104,10 +104,18 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.gettempdir()
     out, all_ = Lake(spark, os.path.join(shared, f"lake-{uuid.uuid4()}")), raw(spark, sf_dir)
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return held[-1]
+
     for k, (a, b) in enumerate(zip((0, *CUTS), (*CUTS, 1 << 40), strict=True)):
         batch = all_.where(F.col("timestamp").between(F.timestamp_seconds(F.lit(a)), F.timestamp_seconds(F.lit(b - 1))))
-        out.write(k, process(batch, SETTINGS, NOW, out.watermark(), out.read("ledger")))
-    out.write(k, process(batch, SETTINGS, NOW, out.watermark(), out.read("ledger")))
+        out.write(k, process(batch, SETTINGS, NOW, out.watermark(), out.read("ledger"), hold=hold))
+        held.pop().unpersist()
+    if out.write(k, process(batch, SETTINGS, NOW, out.watermark(), out.read("ledger"))):
+        raise RuntimeError("a batch was written twice")
     return out
 
 

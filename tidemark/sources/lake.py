@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,12 +115,17 @@ class Lake:
             return False
         routed.rows = routed.rows.persist()
         try:
+            counts = routed.counts()  # the first job: it fills what is persisted
             parts = (routed.deltas(), routed.ledger(), routed.users(), routed.late(), routed.dead_letters(), routed.checkpoints(group))
-            for table, df in zip(TABLES, parts, strict=True):
+
+            def put(table: str, df: DataFrame) -> None:
                 df.write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
+
+            with ThreadPoolExecutor(len(TABLES)) as pool:  # side by side: each is a short job
+                for done in [pool.submit(inheritable_thread_target(self.spark)(put), table, df) for table, df in zip(TABLES, parts, strict=True)]:
+                    done.result()
             if publish:
                 publish(self.spark.read.parquet(f"{self.root}/dlq_events/batch_id={batch_id}"))
-            counts = routed.counts()
             self._write_file(f"_commits/{batch_id}.json", {"batches": [[batch_id, batch_id]], "watermark": routed.watermark(), "counts": counts, "at": routed.now, "last_record": routed.now if counts else None})
         finally:
             routed.rows.unpersist()
