@@ -59,3 +59,19 @@ def test_on_nasty_tables(spark, tables, name):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_on_empty_tables(spark, empty, name):
     assert queries.QUERIES[name](spark, empty).count() == 0
+
+
+def test_batches_of_long_texts_are_small(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import tables
+
+    tables.prepare(spark)
+
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    rows = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text")).mapInArrow(size, "n long").collect()
+    assert sum(r.n for r in rows) == 200 and max(r.n for r in rows) <= tables.ARROW_BYTES / (1 << 20) + 1

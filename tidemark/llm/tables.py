@@ -10,13 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that go to Python at once: long texts then stay within a worker's memory.
-ARROW_ROWS = 500
+#: Rows and bytes that go to Python at once: long texts then stay within a worker's memory.
+ARROW_ROWS, ARROW_BYTES = 500, 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Small Arrow batches, for the whole session; a checkpoint folder where the cluster names none (tests)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
