@@ -158,7 +158,9 @@ def test_sliced_prefix_equals_the_single_one(spark):
 def test_crash_before_the_marker_leaves_nothing_visible(spark, tmp_path):
     lake, r = Lake(spark, str(tmp_path / "lake")), process(raw(spark, [event(1, 1), event(2, 2)]), W120, BASE + 5)
     r.deltas().write.parquet(f"{lake.root}/aggregate_delta/batch_id=0")  # died here
-    assert lake.aggregates(60) is None and lake.read("ledger") is None
+    assert lake.aggregates(60) is None and lake.read("ledger") is None and lake.closed_by(0, 60) is None
+    lake.register(60)
+    assert spark.sql("SELECT * FROM agg_orders_minute").isEmpty() and spark.table("ledger").isEmpty()
     run = batch_function(lake, W120, clock=lambda: BASE + 5)
     run(raw(spark, [event(1, 1), event(2, 2)]), 0)
     run(raw(spark, [event(1, 1), event(2, 2)]), 0)
@@ -230,6 +232,13 @@ def test_markers_are_compacted_and_old_ids_forgotten(spark, tmp_path, monkeypatc
         lake.write(k, process(raw(spark, [event(60 * k, k)], k), W120, BASE + 3600 * k, lake.watermark(), lake.read("ledger")))
     assert len(lake.markers()) <= 3 and lake.state()["batches"] == [[0, 5]] and lake.state()["counts"] == {"on_time": 6}
     assert Lake(spark, lake.root).watermark() == lake.watermark() == BASE + 300 - 120
+    for name, ddl in lake_module.TABLES.items():
+        written = spark.read.parquet(f"{lake.root}/{name}/batch_id=0")
+        assert written.schema.simpleString() == spark.createDataFrame([], ddl).schema.simpleString(), name
+    assert "agg_orders_minute" in lake.register(60) and spark.sql("SELECT sum(events_total) FROM agg_orders_minute").first()[0] == 6
+    assert spark.sql("SELECT count(*) FROM dlq_events").first()[0] == 0
+    assert [r.window_start - BASE for r in lake.aggregates(60, touched_by=4).collect()] == [240]
+    assert [[r.window_start - BASE for r in lake.closed_by(k, 60).orderBy("window_start").collect()] for k in range(6)] == [[], [], [], [0], [60], [120]]
     assert lake.purge(BASE + 5 * 3600, 2) == 3 and lake.read("ledger").count() == 3
     again = process(raw(spark, [event(0, 0), event(300, 5)], 90), Settings(lateness_seconds=9000), BASE + 5 * 3600, None, lake.read("ledger"))
     assert [r.outcome for r in again.rows.orderBy("offset").collect()] == ["on_time", "duplicate"]

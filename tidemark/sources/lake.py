@@ -10,10 +10,18 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.aggregate import fold
+from tidemark.operators.aggregate import KEYS, fold
 from tidemark.operators.route import PLACE, Routed
 
-TABLES = ("aggregate_delta", "ledger", "window_user", "late_events", "dlq_events", "checkpoint")
+# Names of the measures and columns stand in outputs.
+TABLES = {
+    "aggregate_delta": "window_start long, merchant_id string, events_total long, orders_placed long, orders_paid long, orders_cancelled long, orders_refunded long, gross_amount_minor long, refunded_amount_minor long, late_events_applied long, first_event_at long, last_event_at long, updated_at int",
+    "ledger": "event_id string, merchant_id string, window_start long, seen_at timestamp, disposition string",
+    "window_user": "window_start long, merchant_id string, user_id string",
+    "late_events": "event_id string, merchant_id string, event_type string, occurred_at timestamp, window_start long, watermark_at long, lateness_seconds double, amount_minor long, payload string, recorded_at timestamp",
+    "dlq_events": "reason string, detail string, topic string, partition int, offset long, key string, payload string, failed_at timestamp, replayed_at timestamp",
+    "checkpoint": "topic string, partition int, last_offset long, consumer_group string, watermark_at long",
+}
 #: So many markers are written into one.
 COMPACT_AT = 100
 
@@ -106,7 +114,22 @@ class Lake:
         for a, b in runs:
             if b >= first:
                 among = among | F.col("batch_id").between(max(a, first), b)
-        return self.spark.read.parquet(f"{self.root}/{table}").where(among)
+        return self.spark.read.schema(f"{TABLES[table]}, batch_id int").parquet(f"{self.root}/{table}").where(among)
+
+    def table(self, table: str) -> DataFrame:
+        """As read(), but an empty table before the first commit."""
+        rows = self.read(table)
+        return self.spark.createDataFrame([], f"{TABLES[table]}, batch_id int") if rows is None else rows
+
+    def register(self, window: int) -> list[str]:
+        """Temporary views for SQL, with or without commits: every table, and agg_orders_minute, the aggregates as they are now.
+        Their names; they show what is committed when this is called."""
+        for name in TABLES:
+            self.table(name).createOrReplaceTempView(name)
+        dead = self.dead_letters()
+        (self.table("dlq_events") if dead is None else dead).createOrReplaceTempView("dlq_events")
+        fold(self.table("aggregate_delta"), self.table("window_user"), window, self.watermark()).createOrReplaceTempView("agg_orders_minute")
+        return [*TABLES, "agg_orders_minute"]
 
     def write(self, batch_id: int, routed: Routed, group: str = "tidemark", publish: Callable[[DataFrame], None] | None = None) -> bool:
         """Tables first, then the dead letters are published, then the marker: a publisher that fails leaves the batch to be done
@@ -158,9 +181,25 @@ class Lake:
             fs.delete(old, True)
         return len(gone)
 
-    def aggregates(self, window: int) -> DataFrame | None:
-        parts = self.read("aggregate_delta")
-        return None if parts is None else fold(parts, self.read("window_user"), window, self.watermark())
+    def aggregates(self, window: int, touched_by: int | None = None) -> DataFrame | None:
+        """Aggregates of all windows, or of those that a batch added to."""
+        parts, users = self.read("aggregate_delta"), self.read("window_user")
+        if parts is None:
+            return None
+        if touched_by is not None:
+            keys = parts.where(F.col("batch_id") == touched_by).select(*KEYS).distinct()
+            parts, users = parts.join(keys, list(KEYS), "left_semi"), users.join(keys, list(KEYS), "left_semi")
+        return fold(parts, users, window, self.watermark())
+
+    def closed_by(self, batch_id: int, window: int) -> DataFrame | None:
+        """The aggregates of windows that the watermark of that batch was the first to pass."""
+        marks = self.read("checkpoint")
+        out = self.aggregates(window)
+        if out is None:
+            return None
+        before, after = marks.agg(F.max(F.when(F.col("batch_id") < batch_id, F.col("watermark_at"))), F.max(F.when(F.col("batch_id") <= batch_id, F.col("watermark_at")))).first()
+        first = F.lit(True) if before is None else F.col("window_end") > before
+        return out.where(F.lit(after is not None) & (F.col("window_end") <= F.lit(after)) & first)
 
     def last_offsets(self) -> DataFrame | None:
         rows = self.read("checkpoint")
