@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import functools
 import re
+import shutil
 import tempfile
 
 import pyarrow as pa
@@ -22,6 +24,14 @@ def prepare(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+@functools.cache
+def local_folder() -> str:
+    """A folder of this process, which goes when it ends."""
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one only in local mode, where both are one process."""
     if folder := spark.conf.get("spark.checkpoint.dir", None):
@@ -29,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {master} share")
-    return os.path.join(tempfile.gettempdir(), "tidemark-checkpoints")
+    return local_folder()
 
 
 def cut(df: DataFrame) -> DataFrame:
