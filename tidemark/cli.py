@@ -85,8 +85,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, setti
     spark = spark or session()
     now = int(time.time())
     if a.command == "run":
-        lake, metrics = Lake(spark, a.lake), service.register_metrics(spark)
-        server = metrics.serve(a.metrics_port) if a.metrics_port else None
+        lake, metrics = Lake(spark, a.lake), service.register_metrics(spark) if a.metrics_port else None
+        server = metrics.serve(a.metrics_port) if metrics else None
         stream = records.kafka_stream(spark, settings) if a.source == "kafka" else records.file_stream(spark, a.source)
         send = writer(a.dlq, settings, settings.dlq_topic) if a.dlq else None
         publish = (lambda df: send(records.dead_letter_messages(df))) if send else None

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import aggregate
 from tidemark.operators.dedup import first_arrival, mark_duplicates
-from tidemark.operators.windowing import OUTCOMES as OUTCOMES
 from tidemark.operators.windowing import classify, slices
 from tidemark.plans import views
 

@@ -6,8 +6,10 @@ twice, one in ten hours late. All batches have one clock, so that what lies afte
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Settings
 from tidemark.functions.decode import once
 from tidemark.operators.route import Routed, process
+from tidemark.operators.windowing import OUTCOMES
 from tidemark.plans import demo, views
 from tidemark.sources.lake import Lake
 
@@ -102,7 +105,8 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
     if not shared:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        shared = tempfile.gettempdir()
+        shared = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     out, all_ = Lake(spark, os.path.join(shared, f"lake-{uuid.uuid4()}")), raw(spark, sf_dir)
     held: list[DataFrame] = []
 
@@ -122,7 +126,7 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
 def _records(spark, d):
     problem = F.when(F.col("outcome") == "malformed", F.substring_index("problem", ": ", 1)).otherwise(F.col("problem"))
     seen = lambda c: F.when(F.col("outcome") != "malformed", F.col(c)).alias(c)
-    return routed(spark, d).rows.select("partition", "offset", "outcome", problem.alias("problem"), seen("event_id"), F.array_join("unknown_fields", ",").alias("unknown_fields"), F.when(F.col("outcome").isin(*demo.OUTCOMES), F.col("amount_minor")).alias("amount_minor"), "watermark_before")
+    return routed(spark, d).rows.select("partition", "offset", "outcome", problem.alias("problem"), seen("event_id"), F.array_join("unknown_fields", ",").alias("unknown_fields"), F.when(F.col("outcome").isin(*OUTCOMES), F.col("amount_minor")).alias("amount_minor"), "watermark_before")
 
 
 def _dead(spark, d):

@@ -57,7 +57,7 @@ class Lake:
         fs, path = self._path(folder)
         if not fs.exists(path):
             return {}
-        out = {}
+        out, now = {}, set()
         for status in fs.listStatus(path):
             name = status.getPath().getName()
             if name.startswith(".") or not name.endswith(".json"):
@@ -70,6 +70,8 @@ class Lake:
                 finally:
                     stream.close()
             out[name] = self.seen[stamp]
+            now.add(stamp)
+        self.seen = {k: v for k, v in self.seen.items() if k[0] != folder or k in now}
         return out
 
     def markers(self) -> list[dict]:

@@ -19,6 +19,8 @@ from tidemark.sources.lake import Lake
 
 #: The topic of rows that only tell that time goes on.
 TICK = "_tick"
+#: Gauges read the tables, so they are not taken more often than this.
+GAUGE_SECONDS = 60
 
 
 def batch_function(lake: Lake, settings: Settings, clock: Callable[[], float] = time.time, publish: Callable[[DataFrame], None] | None = None, metrics: Metrics | None = None) -> Callable[[DataFrame, int], None]:
@@ -95,6 +97,7 @@ class Metrics(StreamingQueryListener):
         self.events: dict[str, int] = {}
         self.gauges: dict[str, float] = {}
         self.flushes = self.flush_failures = 0
+        self.gauged: int | None = None
 
     def observe(self, lake: Lake, settings: Settings, now: int) -> None:
         """After a commit: outcomes since the first batch, how far the watermark is behind, and how much is open."""
@@ -102,12 +105,15 @@ class Metrics(StreamingQueryListener):
         self.flushes += 1
         self.events = dict(state["counts"])
         mark = state["watermark"]
+        if mark is not None:
+            self.gauges["watermark_lag_seconds"] = now - mark
+        if self.gauged is not None and now - self.gauged < GAUGE_SECONDS:
+            return
+        self.gauged = now
         users, parts = lake.read("window_user"), lake.read("aggregate_delta")
         open_ = F.lit(True) if mark is None else F.col("window_start") + settings.window_seconds > mark
         self.gauges["open_windows"] = parts.where(open_).select("window_start", "merchant_id").distinct().count()
         self.gauges["tracked_users"] = users.where(open_).select("window_start", "merchant_id", "user_id").distinct().count()
-        if mark is not None:
-            self.gauges["watermark_lag_seconds"] = now - mark
 
     def text(self) -> str:
         """All values in the text form that scrapers read."""
